@@ -23,6 +23,8 @@ from ..schemas import (
     labels,
 )
 
+TESTS = ("unique", "not_null", "accepted_values")
+
 
 @dataclass(frozen=True)
 class Check:
@@ -84,83 +86,69 @@ def failing_rows(df: DataFrame, check: Check) -> DataFrame:
     raise ValueError(f"unknown test {check.test!r}")
 
 
-def _report(counts: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """Turn one row of counts ``c0, c1, ...`` into one row per check."""
-    entries = (
+def _entry(check: Check, position: int) -> Column:
+    """What a row adds to a check: nothing, or the value it may fail by.
+
+    ``unique`` needs every value. The other tests only see rows that fail, so a
+    clean table sends nothing through the shuffle for them.
+    """
+    column = F.col(check.column)
+    entry = F.struct(
+        F.lit(position).alias("which"), column.cast("string").alias("value")
+    )
+    if check.test == "unique":
+        return F.when(column.isNotNull(), entry)
+    if check.test == "not_null":
+        return F.when(column.isNull(), entry)
+    return F.when(_outside(check), entry)
+
+
+def _failures(check: Check, position: int) -> Column:
+    ours = F.col("which") == position
+    if check.test == "unique":
+        return F.count_if(ours & (F.col("n_records") > 1))
+    if check.test == "not_null":
+        return F.coalesce(F.sum(F.when(ours, F.col("n_records"))), F.lit(0))
+    return F.count_if(ours)
+
+
+def _run_model(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """All tests of one model from one pass over it.
+
+    Values are counted per (test, value), with partial counts before the shuffle,
+    so a value that fills a third of the table costs one row per task.
+    """
+    entries = F.array(*(_entry(check, i) for i, check in enumerate(checks)))
+    counts = (
+        df.select(F.inline(entries))
+        .filter(F.col("which").isNotNull())
+        .groupBy("which", "value")
+        .agg(F.count(F.lit(1)).alias("n_records"))
+        .agg(*(_failures(check, i).alias(f"c{i}") for i, check in enumerate(checks)))
+    )
+    report = (
         F.struct(
             F.lit(check.model).alias("model"),
             F.lit(check.column).alias("column_name"),
             F.lit(check.test).alias("test"),
-            F.col(f"c{position}").cast("bigint").alias("failures"),
+            F.col(f"c{i}").alias("failures"),
         )
-        for position, check in enumerate(checks)
-    )
-    return counts.select(F.inline(F.array(*entries)))
-
-
-def _count_nulls(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """All not_null tests of a model in one pass."""
-    return _report(
-        df.agg(
-            *(
-                F.count_if(F.col(check.column).isNull()).alias(f"c{position}")
-                for position, check in enumerate(checks)
-            )
-        ),
-        checks,
-    )
-
-
-def _count_outside(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """All accepted_values tests of a model in one pass over its offenders."""
-    suspects = F.array(
-        *(
-            F.when(
-                _outside(check),
-                F.struct(
-                    F.lit(position).alias("which"),
-                    F.col(check.column).cast("string").alias("value"),
-                ),
-            )
-            for position, check in enumerate(checks)
-        )
-    )
-    offenders = df.select(F.inline(F.array_compact(suspects))).distinct()
-    return _report(
-        offenders.agg(
-            *(
-                F.count_if(F.col("which") == position).alias(f"c{position}")
-                for position in range(len(checks))
-            )
-        ),
-        checks,
-    )
-
-
-def _count_repeats(df: DataFrame, check: Check) -> DataFrame:
-    return _report(
-        failing_rows(df, check).agg(F.count(F.lit(1)).alias("c0")), [check]
+        for i, check in enumerate(checks)
     )
+    return counts.select(F.inline(F.array(*report)))
 
 
 def run(
     models: Mapping[str, DataFrame],
     checks: Sequence[Check] = SUITE,
-    tests: Sequence[str] = ("unique", "not_null", "accepted_values"),
+    tests: Sequence[str] = TESTS,
 ) -> DataFrame:
     """One row per test: model, column_name, test, failures, passed."""
-    parts: list[DataFrame] = []
-    for name in dict.fromkeys(check.model for check in checks):
-        of_model = [c for c in checks if c.model == name and c.test in tests]
-        nulls = [c for c in of_model if c.test == "not_null"]
-        lists = [c for c in of_model if c.test == "accepted_values"]
-        if nulls:
-            parts.append(_count_nulls(models[name], nulls))
-        if lists:
-            parts.append(_count_outside(models[name], lists))
-        parts += [
-            _count_repeats(models[name], c) for c in of_model if c.test == "unique"
-        ]
-    return reduce(DataFrame.unionByName, parts).withColumn(
+    chosen = [check for check in checks if check.test in tests]
+    reports = [
+        _run_model(models[name], [check for check in chosen if check.model == name])
+        for name in dict.fromkeys(check.model for check in chosen)
+    ]
+    return reduce(DataFrame.unionByName, reports).withColumn(
         "passed", F.col("failures") == 0
     )
