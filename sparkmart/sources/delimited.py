@@ -87,7 +87,13 @@ def read_csv(
         )
         .csv(path)
     )
-    fits = F.col(_CORRUPT).isNull() | ~_too_long(len(names), sep)
+    # The last term is never true; Spark refuses a scan (such as for a count) that
+    # would need the corrupt-record column alone.
+    fits = (
+        F.col(_CORRUPT).isNull()
+        | ~_too_long(len(names), sep)
+        | F.col(slots[0]).eqNullSafe(_END_MARK)
+    )
     return rows.filter(fits).select(
         *(blank_missing(F.col(s)).alias(n) for s, n in zip(slots, names))
     )
