@@ -70,7 +70,7 @@ def clean_report(df: DataFrame) -> DataFrame:
 def _holds(column: Column, kind: str) -> Column:
     """Whether no non-NULL text fails to read as ``kind``."""
     if kind == "boolean":
-        readable = F.lower(column).isin("true", "false")
+        readable = column.isin("True", "TRUE", "true", "False", "FALSE", "false")
     elif kind == "bigint":
         readable = column.rlike(r"^\s*[+-]?\d+\s*$") & column.try_cast(
             "bigint"

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators import quality
 from ..schemas import MARTS, RAW, STAGING
 from ..sinks import files, tables
-from ..sources import rest
+from ..sources import jdbc, rest
 from . import marts, reports, staging
 
 # The tables loaded from the REST service and their endpoints.
@@ -68,6 +68,22 @@ def api_frames(
     return frames
 
 
+def db_frames(
+    spark: SparkSession,
+    url: str,
+    properties: Mapping[str, str] | None = None,
+    names: Sequence[str] = DB_TABLES,
+    partitions: int = 1,
+) -> dict[str, DataFrame]:
+    """The shop tables of a JDBC database, each read in ranges of its key."""
+    return {
+        name: jdbc.read_table(
+            spark, url, name, properties, f"{name.removesuffix('s')}_id", partitions
+        )
+        for name in names
+    }
+
+
 def build_staging(
     spark: SparkSession,
     layers: Layers = Layers(),
@@ -122,9 +138,9 @@ def check_models(spark: SparkSession, layers: Layers = Layers()) -> DataFrame:
     return quality.run(models)
 
 
-def query(spark: SparkSession, sql: str) -> DataFrame:
-    """Any SQL over the warehouse."""
-    return spark.sql(sql)
+def query(spark: SparkSession, sql: str, **frames: DataFrame) -> DataFrame:
+    """Any SQL over the warehouse; ``{name}`` in it stands for a given frame."""
+    return spark.sql(sql, **frames)
 
 
 def run_full_load(

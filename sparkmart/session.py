@@ -23,6 +23,9 @@ RECOMMENDED_CONF = {
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+#: Folders made for local sessions that name none, by application.
+_local_dirs: dict[str, str] = {}
+
 
 def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
     """Apply the settings above to a session builder."""
@@ -42,9 +45,10 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder all executors share")
-    made = tempfile.mkdtemp(prefix="sparkmart-")
-    spark.conf.set(CHECKPOINT_DIR, made)
-    return made
+    application = spark.sparkContext.applicationId
+    if application not in _local_dirs:
+        _local_dirs[application] = tempfile.mkdtemp(prefix="sparkmart-")
+    return _local_dirs[application]
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:

@@ -102,6 +102,10 @@ def read_csv(
 def load_and_clean(
     spark: SparkSession, path: str, infer: bool = True, **options
 ) -> DataFrame:
-    """Read CSV files, clean the rows and (by default) give columns their types."""
-    cleaned = clean(read_csv(spark, path, **options))
-    return infer_types(cleaned) if infer else cleaned
+    """Read CSV files, give columns their types and clean the rows.
+
+    Types come first, so that duplicates are found among values and not among
+    their spellings (``1`` and ``1.0`` in one column are equal).
+    """
+    rows = read_csv(spark, path, **options)
+    return clean(infer_types(rows) if infer else rows)

@@ -96,6 +96,14 @@ def test_load_and_clean(spark, tmp_path):
     assert spark_rows(df) == sorted([("ann", "2001-01-01", 1.0), ("bob", None, 2.5)], key=repr)
 
 
+def test_duplicates_are_found_among_values(spark, tmp_path):
+    text = "k,v\n1,1\n1,1.0\n 1,1\n2,x\n"
+    df = load_and_clean(spark, put(tmp_path, text.replace("x", "3")))
+    assert spark_rows(df) == [(1, 1.0), (2, 3.0)]
+    frame = pd.read_csv(io.StringIO(text.replace("x", "3")))
+    assert sorted(map(tuple, frame.drop_duplicates().values)) == spark_rows(df)
+
+
 def test_colliding_headers_raise(spark, tmp_path):
     with pytest.raises(ValueError, match="First Name"):
         load_and_clean(spark, put(tmp_path, "First Name,first-name\n1,2\n"))

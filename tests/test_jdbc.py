@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from sparkmart.plans import pipeline
 from sparkmart.sources import jdbc
 
 
@@ -82,6 +83,14 @@ def test_parallel_read_asks_for_bounds_first():
     assert (table["lowerBound"], table["upperBound"]) == ("5", "50")
 
 
+def test_shop_tables_are_split_by_their_keys():
+    source = Recorder(first=(1, 9))
+    frames = pipeline.db_frames(source, URL, partitions=2)
+    assert list(frames) == ["customers", "products", "orders"]
+    keys = [o["partitionColumn"] for o in source.options_seen if "dbtable" in o]
+    assert keys == ["customer_id", "product_id", "order_id"]
+
+
 def test_write_compares_counts():
     sink = Recorder(first=(7,))
     assert jdbc.write_table(sink, URL, "orders") == 7

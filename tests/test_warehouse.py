@@ -149,6 +149,12 @@ def test_full_load(spark, layers, shop):
     ]
 
 
+def test_query_takes_frames_by_name(spark):
+    df = spark.range(3)
+    got = pipeline.query(spark, "select sum(id) as s from {numbers}", numbers=df)
+    assert got.first().s == 3
+
+
 def test_since_is_inclusive(spark):
     df = f.orders(spark, *(f.order(i, day=f"2001-01-0{i}") for i in range(1, 5)))
     got = incremental.since(df, "order_date", "2001-01-03")
