@@ -42,17 +42,16 @@ def total_and_rank(
     measure: str,
     total: str,
     rank: str,
-    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``total`` (sum of ``measure`` in the group) and ``rank`` (of ``value``).
 
-    ``measure`` must not be NULL, and should take few values per ``value``: it is
-    part of the key the counts are kept by. ``counted`` may be a narrower frame
-    with the same rows, which saves reading wide columns twice.
+    ``rows`` is read twice, the first time only in the three named columns: give
+    a stored table, not the joins that lead to it. ``measure`` must not be NULL,
+    and should take few values per ``value``: it is part of the key the counts
+    are kept by.
     """
-    source = rows if counted is None else counted
     cells = (
-        source.select(
+        rows.select(
             _group_key(group).alias("_group"),
             _cents_key(value).alias("_cents"),
             F.col(measure).alias("_measure"),

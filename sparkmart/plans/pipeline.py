@@ -100,15 +100,21 @@ def build_staging(
 def build_marts(
     spark: SparkSession, layers: Layers = Layers(), variant: str = "core"
 ) -> None:
-    """Write the mart tables from the staging views."""
+    """Write the mart tables from the staging views.
+
+    The joined lines are kept in a table of their own while the sales mart is
+    built from them (see :func:`marts.mart_sales`).
+    """
     orders, customers, products = (
         spark.table(f"{layers.staging}.{name}") for name in staging.STAGING_MODELS
     )
-    tables.replace_table(
-        marts.mart_sales(orders, customers, products, variant),
-        f"{layers.marts}.mart_sales",
-        partition_by=SALES_PARTITIONS,
-    )
+    mart, lines = f"{layers.marts}.mart_sales", f"{layers.marts}.mart_sales__lines"
+    sales = marts.sales_lines(orders, customers, products, variant)
+    if variant == "core":
+        tables.replace_table(sales, lines)
+        sales = marts.with_category_rank(spark.table(lines))
+    tables.replace_table(sales, mart, partition_by=SALES_PARTITIONS)
+    spark.sql(f"drop table if exists {lines}")
     tables.replace_table(
         marts.mart_customers(orders, customers, variant),
         f"{layers.marts}.mart_customers",

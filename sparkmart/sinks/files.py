@@ -1,4 +1,4 @@
-"""CSV output."""
+"""CSV output, and frames stored for reading again."""
 
 from __future__ import annotations
 
@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import fresh_path
+
 _NESTED = (T.StructType, T.ArrayType, T.MapType)
 
 
@@ -30,3 +32,14 @@ def write_csv(df: DataFrame, folder: str, sep: str = ",") -> None:
         )
         .csv(folder)
     )
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write a frame to the shared folder and read it back.
+
+    Cuts the lineage in a way that outlives executors, and unlike a checkpoint
+    leaves columns that can be read one by one.
+    """
+    path = fresh_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

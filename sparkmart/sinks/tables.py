@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import fresh_path
+from .files import stored
 
 MODES = ("replace", "append")
 
@@ -33,7 +33,6 @@ def replace_table(
     partition are brought together before the write; a partition too large for
     one task is split again.
     """
-    spark = df.sparkSession
     ready = df.hint("rebalance", *partition_by) if partition_by else df
 
     def write(rows: DataFrame) -> None:
@@ -47,9 +46,7 @@ def replace_table(
     except AnalysisException as error:
         if not (error.getCondition() or "").startswith("UNSUPPORTED_OVERWRITE"):
             raise
-        aside = fresh_path(spark, "replace")
-        ready.write.parquet(aside)
-        write(spark.read.parquet(aside))
+        write(stored(ready, "replace"))
 
 
 def append_table(df: DataFrame, table: str) -> None:
