@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from ..functions.tiers import ladder_sql
 from ..operators.ranking import total_and_rank
 from ..schemas import VALUE_TIERS
-from ..sinks.files import stored
 
 _FROM_ORDER = (
     "order_id",
@@ -62,8 +61,16 @@ def sales_lines(
     )
 
 
-def with_category_rank(lines: DataFrame) -> DataFrame:
-    """Add the category's total revenue and the order's rank in it by amount."""
+def mart_sales(
+    orders: DataFrame,
+    customers: DataFrame,
+    products: DataFrame,
+    variant: str = "core",
+) -> DataFrame:
+    """:func:`sales_lines`, in core with category total and rank in category."""
+    lines = sales_lines(orders, customers, products, variant)
+    if variant == "lite":
+        return lines
     return total_and_rank(
         lines,
         group="category",
@@ -74,21 +81,6 @@ def with_category_rank(lines: DataFrame) -> DataFrame:
     )
 
 
-def mart_sales(
-    orders: DataFrame,
-    customers: DataFrame,
-    products: DataFrame,
-    variant: str = "core",
-) -> DataFrame:
-    """:func:`sales_lines`, in core with category total and rank in category.
-
-    The two window columns need the lines twice, so they are stored first; the
-    joins then run once and the counting pass reads three columns.
-    """
-    lines = sales_lines(orders, customers, products, variant)
-    return lines if variant == "lite" else with_category_rank(stored(lines, "lines"))
-
-
 def _spend_by_customer(orders: DataFrame) -> DataFrame:
     """Order measures per customer; partial sums leave no hot key to shuffle."""
     return (
