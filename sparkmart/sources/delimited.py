@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import blank_missing, file_headers
+from ..functions.text import blank_missing, file_headers, header_name
 from ..operators.cleaning import clean, infer_types
 
 _CORRUPT = "_corrupt_record"
@@ -99,13 +99,25 @@ def read_csv(
     )
 
 
+def declared_types(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Cast text columns to the types declared for their cleaned names."""
+    kinds = {field.name: field.dataType for field in schema}
+    return df.select(
+        *(
+            F.col(f"`{name}`").cast(kinds.get(header_name(name), "string")).alias(name)
+            for name in df.columns
+        )
+    )
+
+
 def load_and_clean(
-    spark: SparkSession, path: str, infer: bool = True, **options
+    spark: SparkSession, path: str, schema: T.StructType | None = None, **options
 ) -> DataFrame:
     """Read CSV files, give columns their types and clean the rows.
 
-    Types come first, so that duplicates are found among values and not among
+    Types are those of ``schema``, or found by one more pass when none is given.
+    They come first, so that duplicates are found among values and not among
     their spellings (``1`` and ``1.0`` in one column are equal).
     """
     rows = read_csv(spark, path, **options)
-    return clean(infer_types(rows) if infer else rows)
+    return clean(declared_types(rows, schema) if schema else infer_types(rows))

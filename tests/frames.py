@@ -4,15 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-RAW_ORDERS = (
-    "order_id long, customer_id long, product_id long, quantity long, "
-    "amount double, status string, order_date string"
-)
-RAW_CUSTOMERS = (
-    "customer_id long, name string, email string, city string, state string, "
-    "created_at string"
-)
-RAW_PRODUCTS = "product_id long, name string, category string, price double, stock long"
+from sparkmart.schemas import RAW_CUSTOMERS, RAW_ORDERS, RAW_PRODUCTS
 
 
 def orders(spark: SparkSession, *rows) -> DataFrame:

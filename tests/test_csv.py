@@ -6,9 +6,11 @@ import io
 
 import pandas as pd
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from sparkmart.functions.text import MISSING_TOKENS
+from sparkmart.schemas import RAW_ORDERS
 from sparkmart.sinks.files import write_csv
 from sparkmart.sources.delimited import load_and_clean, read_csv
 
@@ -96,6 +98,21 @@ def test_load_and_clean(spark, tmp_path):
     assert spark_rows(df) == sorted([("ann", "2001-01-01", 1.0), ("bob", None, 2.5)], key=repr)
 
 
+def test_declared_schema(spark, tmp_path):
+    text = (
+        "Order-ID,customer id,product_id,quantity,amount,status,order_date\n"
+        "1,2,3,4,5,completed,2001-01-01\n2,,,,,NA,\n"
+    )
+    df = load_and_clean(spark, put(tmp_path, text), RAW_ORDERS)
+    assert [f.dataType for f in df.schema] == [f.dataType for f in RAW_ORDERS]
+    assert df.columns == RAW_ORDERS.names
+    assert spark_rows(df)[0] == (1, 2, 3, 4, 5.0, "completed", "2001-01-01")
+    with pytest.raises(PySparkException):
+        load_and_clean(
+            spark, put(tmp_path, text.replace("5,c", "five,c")), RAW_ORDERS
+        ).collect()
+
+
 def test_duplicates_are_found_among_values(spark, tmp_path):
     text = "k,v\n1,1\n1,1.0\n 1,1\n2,x\n"
     df = load_and_clean(spark, put(tmp_path, text.replace("x", "3")))
