@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable
+from functools import cached_property
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,7 +49,10 @@ def _portable(df: DataFrame) -> DataFrame:
 
 
 class Inputs:
-    """The frames of one data folder, each built when first asked for."""
+    """The frames of one data folder, each built once, when first asked for.
+
+    Opening a Parquet table costs a Spark job that reads a footer.
+    """
 
     def __init__(
         self, spark: SparkSession, sf_dir: str, variant: str = "core", dirty: bool = True
@@ -56,19 +60,19 @@ class Inputs:
         self.spark, self.sf_dir = spark, sf_dir
         self.variant, self.dirty = variant, dirty
 
-    @property
+    @cached_property
     def customers(self) -> DataFrame:
         return star.raw_customers(self.spark, self.sf_dir, self.dirty)
 
-    @property
+    @cached_property
     def products(self) -> DataFrame:
         return star.raw_products(self.spark, self.sf_dir, self.dirty)
 
-    @property
+    @cached_property
     def orders(self) -> DataFrame:
         return star.raw_orders(self.spark, self.sf_dir, self.dirty)
 
-    @property
+    @cached_property
     def raw(self) -> dict[str, DataFrame]:
         return {
             "customers": self.customers,
@@ -76,36 +80,36 @@ class Inputs:
             "orders": self.orders,
         }
 
-    @property
+    @cached_property
     def stg_orders(self) -> DataFrame:
         return staging.stg_orders(self.orders, self.variant)
 
-    @property
+    @cached_property
     def stg_customers(self) -> DataFrame:
         return staging.stg_customers(self.customers, self.variant, as_of=AS_OF)
 
-    @property
+    @cached_property
     def stg_products(self) -> DataFrame:
         return staging.stg_products(self.products, self.variant)
 
-    @property
+    @cached_property
     def sales_lines(self) -> DataFrame:
         """The sales mart without its two window columns."""
         return marts.sales_lines(
             self.stg_orders, self.stg_customers, self.stg_products, self.variant
         )
 
-    @property
+    @cached_property
     def mart_sales(self) -> DataFrame:
         return marts.mart_sales(
             self.stg_orders, self.stg_customers, self.stg_products, self.variant
         )
 
-    @property
+    @cached_property
     def mart_customers(self) -> DataFrame:
         return marts.mart_customers(self.stg_orders, self.stg_customers, self.variant)
 
-    @property
+    @cached_property
     def models(self) -> dict[str, DataFrame]:
         """Models by name; no test reads the window columns of the sales mart."""
         return {

@@ -19,6 +19,8 @@ RECOMMENDED_CONF = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "static",
+    # Recording call sites for error messages is most of the work of building a plan.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
