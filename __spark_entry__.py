@@ -7,6 +7,7 @@ and means as DOUBLE, whole numbers as BIGINT, dates as text.
 
 from __future__ import annotations
 
+import importlib.util
 import sys
 from collections.abc import Callable
 from functools import cached_property
@@ -28,6 +29,22 @@ from sparkmart.session import fresh_path  # noqa: E402
 from sparkmart.sinks import files, tables  # noqa: E402
 from sparkmart.sources import delimited, rest, star  # noqa: E402
 
+
+
+def _there(module: str) -> bool:
+    """Whether a module that may be left out of an installation is in it."""
+    try:
+        return importlib.util.find_spec(module) is not None
+    except ModuleNotFoundError:
+        return False
+
+
+llm = corpus_pipeline = None
+if _there("sparkmart.llm.queries"):
+    from sparkmart.llm import queries as llm
+if llm and _there("corpus_pipeline"):
+    import corpus_pipeline
+
 Query = Callable[[SparkSession, str], DataFrame]
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -285,9 +302,14 @@ def queries() -> dict[str, Query]:
         **{name: _bind(build) for name, build in _CORE.items()},
         **{name: _bind(build, variant="lite") for name, build in _LITE.items()},
         **{name: _bind(build, dirty=False) for name, build in _CLEAN.items()},
+        **(llm.queries() if llm else {}),
+        **({"pipeline": corpus_pipeline.run} if corpus_pipeline else {}),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    """The DuckDB statement for each registered query."""
-    return oracle_queries.build()
+    """The DuckDB statement for each registered query that SQL can express."""
+    statements = {**oracle_queries.build(), **(llm.oracle_sql() if llm else {})}
+    if corpus_pipeline and corpus_pipeline.ORACLE_SQL:
+        statements["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return statements
