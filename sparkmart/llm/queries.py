@@ -5,20 +5,55 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sparkmart.llm import minhash_dedup
+from sparkmart.llm import minhash_dedup, oracles, secret_scan, token_counts
 from sparkmart.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_counts.token_counts(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model")
+    )
+
+
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.find_secrets(table(spark, sf_dir, "documents"))
+    base = [rule.kind for rule in secret_scan.BASE]
+
+    def of(*kinds: str):
+        return F.filter("secrets", lambda s: s["kind"].isin(*kinds))
+
+    def joined(spans):
+        return F.array_join(
+            F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])),
+            ",",
+        )
+
+    return found.select(
+        "doc_id",
+        *(F.size(of(kind)).cast("bigint").alias(f"n_{kind}") for kind in base),
+        F.sha2(joined(of(*base)), 256).alias("base_sha256"),
+        joined(F.col("secrets")).alias("spans"),
+    )
+
+
 def queries() -> dict[str, Query]:
-    return {"op9_minhash": op9_minhash}
+    return {
+        "op3_tokens": op3_tokens,
+        "op9_minhash": op9_minhash,
+        "op10_secrets": op10_secrets,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """The DuckDB statement of each query that SQL can express."""
+    return oracles.build()
