@@ -100,5 +100,35 @@ from sets s join named n on s.doc_id = n.x
 """
 
 
+def _chat() -> str:
+    def shown(column: str) -> str:
+        return (
+            rf"case when regexp_matches({column}, '<\|im_(start|end)\|>|<\\+\|') "
+            rf"then regexp_replace({column}, '<(\\*)\|', '<\\\1|', 'g') else {column} end"
+        )
+
+    return f"""
+with turns as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text
+  from conversations
+  union all
+  select -1, turn, role, '<|im_end|><|im_start|>assistant ok'
+  from (values (0, 'user'), (1, 'assistant')) t(turn, role)
+), written as (
+  select *, '<|im_start|>' || role || chr(10) || ({shown("text")}) || '<|im_end|>' || chr(10)
+    as formatted
+  from turns
+)
+select conv_id, count(*) as n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, formatted))
+    as turns_sha256,
+  cast(coalesce(sum(length(text)) filter (role = 'assistant'), 0) as bigint) as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by turn, formatted)
+    filter (role = 'assistant'), '')) as loss_sha256,
+  cast(sum(length(formatted)) as bigint) as formatted_chars
+from written group by conv_id
+"""
+
+
 def build() -> dict[str, str]:
-    return {"op9_minhash": _minhash(), "op10_secrets": _secrets()}
+    return {"op7_chat": _chat(), "op9_minhash": _minhash(), "op10_secrets": _secrets()}
