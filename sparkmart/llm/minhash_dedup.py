@@ -272,7 +272,7 @@ def near_duplicates(
     groups = stored(_comparison_groups(reps, sketch, indexed, share), "groups")
     sets = (
         docs.select(F.col("doc_id").cast("bigint"), "text")
-        .join(groups.select("doc_id").distinct(), "doc_id", "left_semi")
+        .join(groups.select("doc_id").distinct().hint("merge"), "doc_id", "left_semi")
         .mapInArrow(_full_sets(words), "doc_id long, items array<long>")
     )
     compared = groups.join(sets, "doc_id").select("group", "doc_id", "items")
