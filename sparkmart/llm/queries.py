@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmart.llm import chat_format, minhash_dedup, oracles, secret_scan, token_counts
+from sparkmart.llm import (
+    chat_format,
+    language_id,
+    minhash_dedup,
+    oracles,
+    quality_mil,
+    secret_scan,
+    token_counts,
+    toxicity_cnn,
+)
 from sparkmart.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +30,17 @@ def op3_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language_id.identify(docs, language_id.fit(docs))
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality_mil.fit(docs, table(spark, sf_dir, "labels"))
+    return quality_mil.score(docs, model)
+
+
 def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     hostile = spark.sql(
@@ -31,6 +51,12 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.read_back(chat_format.format_turns(turns.union(hostile)))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity_cnn.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity_cnn.score(docs, model)
+
+
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -59,7 +85,10 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op3_tokens": op3_tokens,
+        "op4_language": op4_language,
+        "op6_quality": op6_quality,
         "op7_chat": op7_chat,
+        "op8_toxicity": op8_toxicity,
         "op9_minhash": op9_minhash,
         "op10_secrets": op10_secrets,
     }

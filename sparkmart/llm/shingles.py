@@ -1,7 +1,7 @@
 """Hashes of words and word shingles, vectorised over the bytes of many texts.
 
-Words are maximal runs of bytes other than white space (0x09-0x0D, 0x20), with
-A-Z in lower case. A word's hash is a polynomial over its bytes modulo 2^64,
+Words are maximal runs of bytes other than white space (0x09-0x0D, 0x20), if not told
+otherwise, with A-Z in lower case. A word's hash is a polynomial over its bytes modulo 2^64,
 mixed; a shingle's is a polynomial over its words' hashes, mixed again.
 """
 
@@ -12,8 +12,11 @@ import numpy as np
 _U = np.uint64
 _BYTE_BASE = 0x9E3779B97F4A7C15
 _WORD_BASE = 0xD6E8FEB86659FD93
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+SPACE = np.zeros(256, bool)
+SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: All of ASCII but letters and digits.
+NO_LETTER = np.arange(256) < 0x80
+NO_LETTER[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B)]] = False
 _LOWER = np.arange(256, dtype=np.uint64) + _U(1)
 _LOWER[ord("A") : ord("Z") + 1] += _U(32)
 
@@ -35,12 +38,13 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words in order, and the number of words of each text."""
-    rows = len(offsets) - 1
+def word_bounds(
+    data: np.ndarray, offsets: np.ndarray, between: np.ndarray = SPACE
+) -> tuple[np.ndarray, np.ndarray]:
+    """Where all words begin and end; ``between``: the bytes that are in no word."""
     if not len(data):
-        return np.empty(0, np.uint64), np.zeros(rows, np.int64)
-    inside = ~_SPACE[data]
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    inside = ~between[data]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
     firsts = offsets[:-1][np.diff(offsets) > 0]
@@ -48,7 +52,14 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     ends = inside.copy()
     ends[:-1] &= ~inside[1:]
     ends[firsts[1:] - 1] = inside[firsts[1:] - 1]
-    start, stop = np.flatnonzero(begins), np.flatnonzero(ends) + 1
+    return np.flatnonzero(begins), np.flatnonzero(ends) + 1
+
+
+def word_hashes(
+    data: np.ndarray, offsets: np.ndarray, between: np.ndarray = SPACE
+) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words in order, and the number of words of each text."""
+    start, stop = word_bounds(data, offsets, between)
     hashes = np.empty(len(start), np.uint64)
     at, size, up, down = 0, 0, None, None
     while at < len(start):

@@ -10,6 +10,8 @@ import pyarrow as pa
 
 #: Bytes of text handled at a time; one longer text makes a block of its own.
 BLOCK_BYTES = 1 << 20
+#: Texts handled at a time.
+BLOCK_ROWS = 4096
 
 
 class Block(NamedTuple):
@@ -29,7 +31,9 @@ class Block(NamedTuple):
         return np.repeat(np.arange(self.rows), np.diff(self.offsets))
 
 
-def blocks(column: pa.Array, block_bytes: int = BLOCK_BYTES) -> Iterator[Block]:
+def blocks(
+    column: pa.Array, block_bytes: int = BLOCK_BYTES, block_rows: int = BLOCK_ROWS
+) -> Iterator[Block]:
     """Cut a string column into blocks; a null text is an empty one."""
     if column.null_count:
         column = column.fill_null("")
@@ -41,7 +45,7 @@ def blocks(column: pa.Array, block_bytes: int = BLOCK_BYTES) -> Iterator[Block]:
     first = 0
     while first < rows:
         last = int(np.searchsorted(offsets, offsets[first] + block_bytes, "right")) - 1
-        last = min(max(last, first + 1), rows)
+        last = min(max(last, first + 1), first + block_rows, rows)
         low, high = int(offsets[first]), int(offsets[last])
         yield Block(first, last, data[low:high], offsets[first : last + 1] - low)
         first = last
