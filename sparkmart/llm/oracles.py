@@ -63,6 +63,43 @@ from texts t left join rows r on t.doc_id = r.doc_id
 """
 
 
+_WORDS = r"""regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+
+def _decontaminate() -> str:
+    return f"""
+with docs as (
+  select doc_id, {_WORDS} as words from documents
+), items as (
+  select item_id, {_WORDS} as words from benchmark
+), windows as (
+  select item_id, unnest(list_transform(range(1, greatest(len(words) - 9, 1) + 1),
+    lambda i: words[i:i + 9])) as part
+  from items where len(words) > 0
+), sizes as (
+  select distinct len(part) as n from windows
+), starts as (
+  select doc_id, n, unnest(range(1, len(words) - n + 2)) as i, words
+  from docs, sizes where len(words) >= n
+), found as (
+  select s.doc_id, s.i, s.n, w.item_id
+  from starts s join windows w on s.words[s.i:s.i + s.n - 1] = w.part
+), hit as (
+  select doc_id, count(distinct place) as n_hit
+  from (select doc_id, unnest(range(i, i + n)) as place from found) group by doc_id
+), named as (
+  select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as items
+  from (select distinct doc_id, cast(item_id as varchar) as item from found) group by doc_id
+)
+select d.doc_id, len(d.words) as n_words, coalesce(n_hit, 0) as n_hit,
+  coalesce(n_items, 0) as n_items, sha256(coalesce(items, '')) as items_sha256,
+  coalesce(n_hit, 0) > 0 as contaminated
+from docs d left join hit h on d.doc_id = h.doc_id left join named m on d.doc_id = m.doc_id
+"""
+
+
 def _minhash() -> str:
     return r"""
 with recursive texts as (
@@ -131,4 +168,4 @@ from written group by conv_id
 
 
 def build() -> dict[str, str]:
-    return {"op7_chat": _chat(), "op9_minhash": _minhash(), "op10_secrets": _secrets()}
+    return {"op2_decontaminate": _decontaminate(), "op7_chat": _chat(), "op9_minhash": _minhash(), "op10_secrets": _secrets()}

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sparkmart.llm import (
     chat_format,
+    decontamination,
     language_id,
     minhash_dedup,
     oracles,
@@ -22,6 +23,12 @@ from sparkmart.llm.tables import table
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contamination(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
 def op3_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -84,6 +91,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op2_decontaminate": op2_decontaminate,
         "op3_tokens": op3_tokens,
         "op4_language": op4_language,
         "op6_quality": op6_quality,
