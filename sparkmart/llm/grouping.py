@@ -8,8 +8,13 @@ import numpy as np
 import pyarrow as pa
 
 
-def by_key(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
-    """Consecutive rows with equal ``key``, one table each; holds one group."""
+def by_key(
+    batches: Iterator[pa.RecordBatch], key: str, least: int = 2
+) -> Iterator[pa.Table]:
+    """Consecutive rows with equal ``key``, one table each; holds one group.
+
+    Groups of fewer than ``least`` rows are passed over.
+    """
     held: list[pa.RecordBatch] = []
     held_key = None
     for batch in batches:
@@ -20,11 +25,13 @@ def by_key(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
         bounds = [0, *cuts.tolist(), len(keys)]
         for low, high in zip(bounds, bounds[1:], strict=False):
             if held and keys[low] != held_key:
-                yield pa.Table.from_batches(held)
+                if sum(b.num_rows for b in held) >= least:
+                    yield pa.Table.from_batches(held)
                 held = []
             held_key = keys[low]
-            held.append(batch.slice(low, high - low))
-    if held:
+            if high - low >= least or low == 0 or high == len(keys):
+                held.append(batch.slice(low, high - low))
+    if held and sum(b.num_rows for b in held) >= least:
         yield pa.Table.from_batches(held)
 
 

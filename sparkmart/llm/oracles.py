@@ -167,5 +167,31 @@ from written group by conv_id
 """
 
 
+def _embeddings() -> str:
+    return """
+with recursive every as (
+  select vec_id, cast(embedding as double[]) as e from embeddings
+), good as (
+  select vec_id, e from every
+  where len(list_filter(e, lambda x: x is null or not isfinite(x))) = 0
+    and len(list_filter(e, lambda x: x <> 0)) > 0
+), links as (
+  select a.vec_id as x, b.vec_id as y from good a, good b
+  where a.vec_id <> b.vec_id and list_cosine_similarity(a.e, b.e) >= 0.9
+), reach as (
+  select vec_id as x, vec_id as y from every
+  union
+  select r.x, l.y from reach r join links l on r.y = l.x
+), named as (
+  select x, min(y) as component_id from reach group by x
+), counted as (
+  select x, count(*) as n from links group by x
+)
+select e.vec_id, coalesce(c.n, 0) as n_links, n.component_id,
+  e.vec_id = n.component_id as kept
+from every e join named n on e.vec_id = n.x left join counted c on e.vec_id = c.x
+"""
+
+
 def build() -> dict[str, str]:
-    return {"op2_decontaminate": _decontaminate(), "op7_chat": _chat(), "op9_minhash": _minhash(), "op10_secrets": _secrets()}
+    return {"op1_embeddings": _embeddings(), "op2_decontaminate": _decontaminate(), "op7_chat": _chat(), "op9_minhash": _minhash(), "op10_secrets": _secrets()}

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sparkmart.llm import (
     chat_format,
     decontamination,
+    embedding_dedup,
     language_id,
     minhash_dedup,
     oracles,
@@ -23,6 +24,10 @@ from sparkmart.llm.tables import table
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -91,6 +96,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_embeddings": op1_embeddings,
         "op2_decontaminate": op2_decontaminate,
         "op3_tokens": op3_tokens,
         "op4_language": op4_language,
