@@ -19,11 +19,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkmart.llm.tables import stored
+from sparkmart.llm.tables import bounded, stored
 
 WINDOW, SHINGLE = 10, 3
-#: Rows of a benchmark table that are broadcast; a larger one is shuffled.
-BROADCAST_ROWS = 1_000_000
 
 # What parts words, and the letters that get lower case.
 _BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -44,12 +42,6 @@ def _shingles(words: Column, n: int, count: Column) -> Column:
     )
 
 
-def _bounded(df: DataFrame) -> DataFrame:
-    """Marked for broadcast if it has few rows; unchanged if not."""
-    few = df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    return F.broadcast(df) if few else df
-
-
 def benchmark_windows(items: DataFrame, window: int, shingle: int) -> DataFrame:
     """(item_id, window, length, elements): the windows of all items.
 
@@ -74,7 +66,7 @@ def benchmark_windows(items: DataFrame, window: int, shingle: int) -> DataFrame:
 
 
 def _places(docs: DataFrame, known: DataFrame, sizes: list[int]) -> DataFrame:
-    """(row, doc_id, n_words, place, element) of known shingles, and one without place.
+    """(row, doc_id, text_hash, n_words, place, element) of known shingles, and one without place.
 
     ``row`` tells rows of the documents apart, also those that share an id. It is drawn
     when the table is written, and only then.
@@ -82,6 +74,7 @@ def _places(docs: DataFrame, known: DataFrame, sizes: list[int]) -> DataFrame:
     tokens = docs.select(
         F.monotonically_increasing_id().alias("row"),
         "doc_id",
+        F.xxhash64("text").alias("text_hash"),
         words_of(F.col("text")).alias("words"),
     ).withColumn("n_words", F.size("words"))
     every = None
@@ -90,7 +83,8 @@ def _places(docs: DataFrame, known: DataFrame, sizes: list[int]) -> DataFrame:
         # The first list has at its head a hash that stands for the row itself.
         head = F.array(F.lit(0).cast("bigint"))
         part = tokens.select(
-            "row", "doc_id", "n_words", F.posexplode(F.concat(head, runs)).alias("at", "element")
+            *("row", "doc_id", "text_hash", "n_words"),
+            F.posexplode(F.concat(head, runs)).alias("at", "element"),
         )
         every = part if every is None else every.union(part.where("at > 0"))
     return (
@@ -99,6 +93,7 @@ def _places(docs: DataFrame, known: DataFrame, sizes: list[int]) -> DataFrame:
         .select(
             "row",
             "doc_id",
+            "text_hash",
             F.col("n_words").cast("bigint").alias("n_words"),
             F.when(F.col("at") > 0, F.col("at") - 1).alias("place"),
             "element",
@@ -131,13 +126,13 @@ def _rarest(windows: DataFrame, places: DataFrame) -> DataFrame:
 def _occurrences(windows: DataFrame, places: DataFrame) -> DataFrame:
     """(row, start, window, length) of every window's occurrences."""
     candidates = (
-        places.join(_bounded(_rarest(windows, places)), "element")
+        places.join(bounded(_rarest(windows, places)), "element")
         .withColumn("start", F.col("place") - F.col("offset"))
         .where("start >= 0 and start + length <= n_words")
         .select("row", "start", "window", "length")
     )
     due = candidates.join(
-        _bounded(windows.select("window", "elements")), "window"
+        bounded(windows.select("window", "elements")), "window"
     ).select(
         "row",
         "start",
@@ -160,7 +155,9 @@ def _occurrences(windows: DataFrame, places: DataFrame) -> DataFrame:
 def contamination(
     docs: DataFrame, items: DataFrame, window: int = WINDOW, shingle: int = SHINGLE
 ) -> DataFrame:
-    """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated) for each document.
+    """Each document's hits, one row for each.
+
+    (doc_id, n_words, n_hit, n_items, items_sha256, contaminated, text_hash)
 
     ``docs`` has doc_id and text, ``items`` item_id and text; other columns are not
     read. A word is hit if it lies in any occurrence of a window; ``n_items`` counts the
@@ -181,7 +178,7 @@ def contamination(
             F.least(F.col("length"), F.lit(shingle)).alias("n")
         ).distinct().collect()
     )
-    table = stored(_places(docs, _bounded(known), sizes or [shingle]), "places")
+    table = stored(_places(docs, bounded(known), sizes or [shingle]), "places")
     places = table.where("place is not null")
     found = stored(_occurrences(windows, places), "occurrences")
 
@@ -203,7 +200,7 @@ def contamination(
     named = (
         found.select("row", "window")
         .join(
-            _bounded(cut.where("item_id is not null").select("window", "item_id").distinct()),
+            bounded(cut.where("item_id is not null").select("window", "item_id").distinct()),
             "window",
         )
         .groupBy("row")
@@ -222,5 +219,19 @@ def contamination(
             F.size("items").cast("bigint").alias("n_items"),
             F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
             (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
+            "text_hash",
         )
     )
+
+
+def clean_documents(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs`` that no benchmark window hits, with all their columns."""
+    found = contamination(docs, items, **options).where("contaminated")
+    hit = stored(
+        found.select(F.col("doc_id").alias("_hit_id"), F.col("text_hash").alias("_hit_hash")),
+        "contaminated",
+    )
+    same = F.col("doc_id").eqNullSafe(F.col("_hit_id")) & (
+        F.xxhash64("text") == F.col("_hit_hash")
+    )
+    return docs.join(bounded(hit), same, "left_anti")

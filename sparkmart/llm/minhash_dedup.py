@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from sparkmart.llm import grouping, shingles, text_bytes
 from sparkmart.llm.components import components
-from sparkmart.llm.tables import stored
+from sparkmart.llm.tables import bounded, stored
 
 WORDS = 5
 SIMILARITY = (75, 100)
@@ -307,3 +307,24 @@ def near_duplicates(
             F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
         )
     )
+
+
+def first_documents(docs: DataFrame, **options) -> DataFrame:
+    """``docs`` with one row of each group of near duplicates, and all its columns.
+
+    Of rows that share the kept id one stays; rows without an id all stay.
+    """
+    found = stored(near_duplicates(docs, **options).select("doc_id", "kept"), "kept")
+    rest = found.where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
+    twice = (
+        found.where("kept and doc_id is not null")
+        .groupBy("doc_id")
+        .agg(F.count("*").alias("n"))
+        .where("n > 1")
+        .select(F.col("doc_id").alias("_twice"))
+    )
+    stay = docs.join(bounded(rest), F.col("doc_id") == F.col("_gone"), "left_anti")
+    twice = bounded(stored(twice, "repeated"))
+    once = stay.join(twice, F.col("doc_id") == F.col("_twice"), "left_anti")
+    repeated = stay.join(twice, F.col("doc_id") == F.col("_twice"), "left_semi")
+    return once.unionByName(repeated.dropDuplicates(["doc_id"]))

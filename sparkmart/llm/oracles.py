@@ -193,5 +193,73 @@ from every e join named n on e.vec_id = n.x left join counted c on e.vec_id = c.
 """
 
 
+def _mix(rounds: int = 8, steps: int = 6, budget: float = 0.8) -> str:
+    """Temperatures 0.7 for source and language, 1 for topic."""
+    parts = [
+        r"""with described as (
+  select doc_id, source, lang, coalesce(text, '') as body,
+    len(list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\x0B\f\r]+'),
+      lambda w: w <> '')) as n
+  from documents
+), docs as (
+  select doc_id, source, lang, n, coalesce(source, '') as s, coalesce(lang, '') as l,
+    case when contains(body, 'Licensed under') or contains(body, 'Released under')
+        or contains(body, 'All rights reserved') or contains(body, 'Copyright') then 'legal'
+      when contains(body, '@') then 'contact' when contains(body, ' | ') then 'table'
+      when n < 100 then 'short' when n > 1000 then 'long' else 'prose' end as t
+  from described
+), w0 as materialized (
+  select s, l, t, sum(n)::double as n, sum(n)::double as w from docs where n > 0 group by all
+)"""
+    ]
+    for by, power in (("s", 0.7), ("l", 0.7), ("t", 1.0)):
+        parts.append(
+            f"""target_{by} as materialized (
+  select {by}, pow(sum(n), {power}) / sum(pow(sum(n), {power})) over () as share
+  from w0 group by {by}
+)"""
+        )
+    k = 0
+    for _ in range(rounds):
+        for by in "slt":
+            parts.append(
+                f"""w{k + 1} as materialized (
+  select w.s, w.l, w.t, w.n, w.w * g.share / sum(w.w) over (partition by w.{by}) as w
+  from w{k} w join target_{by} g on w.{by} = g.{by}
+)"""
+            )
+            k += 1
+    parts.append(
+        f"""rates as materialized (
+  select s, l, t, n, w * sum(n) over () / n as rate, sum(n) over () as total from w{k}
+), x0 as (
+  select {budget}::double as x
+)"""
+    )
+    for i in range(steps):
+        parts.append(
+            f"""x{i + 1} as materialized (
+  select greatest(min(x), coalesce(({budget} * min(total) - sum(case when rate * x >= 1
+    then n else 0 end)) / nullif(sum(case when rate * x < 1 then n * rate else 0 end), 0),
+    min(x))) as x
+  from rates, x{i}
+)"""
+        )
+    parts.append(
+        f"""chances as (
+  select s, l, t, least(1.0, rate * x) as p from rates, x{steps}
+), drawn as (
+  select d.*, case when n > 0 then coalesce(p, 0) else 0 end as p,
+    ('0x' || substr(md5('mix:' || coalesce(doc_id::varchar, '')), 1, 8))::bigint
+      / 4294967296.0 as place
+  from docs d left join chances c on d.s = c.s and d.l = c.l and d.t = c.t
+)
+select doc_id, source, lang, t as topic, n as n_tokens, round(p::double, 6) as probability,
+  place < p as kept
+from drawn"""
+    )
+    return ", ".join(parts)
+
+
 def build() -> dict[str, str]:
-    return {"op1_embeddings": _embeddings(), "op2_decontaminate": _decontaminate(), "op7_chat": _chat(), "op9_minhash": _minhash(), "op10_secrets": _secrets()}
+    return {"op1_embeddings": _embeddings(), "op2_decontaminate": _decontaminate(), "op5_mix": _mix(), "op7_chat": _chat(), "op9_minhash": _minhash(), "op10_secrets": _secrets()}

@@ -252,3 +252,22 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
         "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"),
     )
+
+
+def _filter(model: Model, position: int, threshold: float):
+    least = np.log(threshold / (1 - threshold))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block in text_bytes.blocks(batch.column(position)):
+                odds = log_odds(*passage_features(block.data, block.offsets), model)
+                part = batch.slice(block.first, block.rows)
+                yield part.filter(pa.array(odds >= least))
+
+    return run
+
+
+def accepted(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` with a score of at least ``threshold``, with all columns."""
+    run = _filter(model, docs.columns.index("text"), threshold)
+    return docs.mapInArrow(run, docs.schema)

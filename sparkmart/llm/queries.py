@@ -13,6 +13,7 @@ from sparkmart.llm import (
     embedding_dedup,
     language_id,
     minhash_dedup,
+    mixing,
     oracles,
     quality_mil,
     secret_scan,
@@ -31,7 +32,7 @@ def op1_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
-    )
+    ).drop("text_hash")
 
 
 def op3_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,6 +48,19 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs, language_id.fit(docs))
 
 
+def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.calibrated(table(spark, sf_dir, "documents"))
+    return mixed.select(
+        "doc_id",
+        "source",
+        "lang",
+        F.col("_mix_topic").alias("topic"),
+        F.col("_mix_tokens").alias("n_tokens"),
+        F.round("_mix_probability", 6).alias("probability"),
+        F.col("_mix_kept").alias("kept"),
+    )
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality_mil.fit(docs, table(spark, sf_dir, "labels"))
@@ -100,6 +114,7 @@ def queries() -> dict[str, Query]:
         "op2_decontaminate": op2_decontaminate,
         "op3_tokens": op3_tokens,
         "op4_language": op4_language,
+        "op5_mix": op5_mix,
         "op6_quality": op6_quality,
         "op7_chat": op7_chat,
         "op8_toxicity": op8_toxicity,
