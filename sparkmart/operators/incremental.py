@@ -30,12 +30,16 @@ def not_loaded(
 ) -> DataFrame:
     """Incoming rows on or after the target's newest date that it lacks.
 
-    The lower bound is inclusive, so rows of the newest loaded day come again;
-    only that day of the target is needed to tell them apart.
+    The lower bound is inclusive, so rows of the newest loaded day come again; they
+    are told apart by key and date, as only that day of the target has to be read
+    for. Rows without a date are always due, and known by their key in the same way.
+    NULL equals NULL in both, so loading twice adds nothing.
     """
-    newest = target.agg(F.max(date_column))
-    due = incoming.filter(
-        (F.col(date_column) >= newest.scalar()) | newest.scalar().isNull()
+    newest = target.agg(F.max(date_column)).scalar()
+    date = F.col(date_column)
+    due = incoming.filter((date >= newest) | newest.isNull() | date.isNull())
+    held = target.filter((date == newest) | date.isNull()).select(
+        F.col(key).alias("_key"), date.alias("_date")
     )
-    boundary = target.filter(F.col(date_column) == newest.scalar()).select(key)
-    return due.join(boundary, key, "left_anti")
+    same = F.col(key).eqNullSafe(F.col("_key")) & date.eqNullSafe(F.col("_date"))
+    return due.join(held, same, "left_anti")

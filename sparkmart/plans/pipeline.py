@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from ..operators import quality
 from ..schemas import MARTS, RAW, STAGING
@@ -58,13 +60,22 @@ def api_frames(
     base_url: str,
     folder: str,
     endpoints: Mapping[str, str | Sequence[str]] = API_ENDPOINTS,
+    schemas: Mapping[str, T.StructType] | None = None,
 ) -> dict[str, DataFrame]:
-    """Fetch the endpoints, keep a CSV copy of each, and return the frames."""
-    landed = f"{folder}/landed"
-    rest.land(spark, base_url, endpoints, landed)
-    frames = {name: rest.read_landed(spark, landed, name) for name in endpoints}
-    for name, frame in frames.items():
-        files.write_csv(frame, f"{folder}/csv/{name}")
+    """Fetch the endpoints, keep a CSV copy of each, and return the frames.
+
+    An endpoint that returns no record is an empty table of its ``schemas`` entry. If
+    it has none, it is left out with a warning, and the others are returned.
+    """
+    landed = rest.land(spark, base_url, endpoints, f"{folder}/landed")
+    frames = {}
+    for name in endpoints:
+        frame = rest.read_landed(spark, landed, name, (schemas or {}).get(name))
+        if frame.columns:
+            files.write_csv(frame, f"{folder}/csv/{name}")
+            frames[name] = frame
+        else:
+            warnings.warn(f"{name} has no records and no schema", stacklevel=2)
     return frames
 
 
@@ -73,7 +84,7 @@ def db_frames(
     url: str,
     properties: Mapping[str, str] | None = None,
     names: Sequence[str] = DB_TABLES,
-    partitions: int = 1,
+    partitions: int = jdbc.PARTITIONS,
 ) -> dict[str, DataFrame]:
     """The shop tables of a JDBC database, each read in ranges of its key."""
     return {

@@ -12,6 +12,11 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.incremental import since
+from ..sinks.files import stored
+
+#: Ranges that a table is read in, and rows fetched by one round trip.
+PARTITIONS = 16
+FETCH_SIZE = 10_000
 
 
 def split_options(
@@ -37,7 +42,9 @@ def read_query(
     """The result of any query the database understands."""
     return (
         spark.read.format("jdbc")
-        .options(**{**(properties or {}), "url": url, "query": sql})
+        .options(
+            **{"fetchsize": str(FETCH_SIZE), **(properties or {}), "url": url, "query": sql}
+        )
         .load()
     )
 
@@ -48,10 +55,18 @@ def read_table(
     table: str,
     properties: Mapping[str, str] | None = None,
     split_column: str | None = None,
-    partitions: int = 1,
+    partitions: int = PARTITIONS,
 ) -> DataFrame:
-    """A whole table, read in parallel ranges when ``split_column`` is given."""
-    options = {**(properties or {}), "url": url, "dbtable": table}
+    """A whole table, read in parallel ranges when ``split_column`` is given.
+
+    Without it the table comes over one connection into one task.
+    """
+    options = {
+        "fetchsize": str(FETCH_SIZE),
+        **(properties or {}),
+        "url": url,
+        "dbtable": table,
+    }
     if split_column and partitions > 1:
         lowest, highest = read_query(
             spark,
@@ -88,10 +103,12 @@ def write_table(
 
     A task commits its rows in one transaction, but a task whose executor is lost
     right after the commit runs again. The count taken in the database is
-    therefore compared with the frame's and a difference raises.
+    therefore compared with the frame's and a difference raises. The frame is stored
+    first: its plan runs once, with its own parallelism, whatever the ``connections``.
     """
+    rows = stored(df, "jdbc")
     (
-        df.write.format("jdbc")
+        rows.repartition(connections).write.format("jdbc")
         .mode("overwrite")
         .options(
             **{
@@ -106,7 +123,7 @@ def write_table(
     held = read_query(
         df.sparkSession, url, f"select count(*) as n from {table}", properties
     ).first()[0]
-    wanted = df.count()
+    wanted = rows.count()
     if held != wanted:
         raise RuntimeError(f"{table} holds {held} rows, expected {wanted}")
     return int(held)

@@ -9,6 +9,7 @@ service half-way through a job.
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Iterator, Mapping, Sequence
 from urllib.request import Request, urlopen
 
@@ -68,37 +69,44 @@ def land(
     endpoints: Mapping[str, str | Sequence[str]],
     folder: str,
     timeout: float = 60,
-) -> None:
-    """Fetch ``{table: endpoint or pages}`` into ``folder`` as JSON lines."""
+) -> str:
+    """Fetch ``{table: endpoint or pages}`` into ``folder`` as JSON lines.
+
+    Each call makes a subfolder of its own there and returns it, so nothing that is
+    in ``folder`` is touched and frames of earlier calls stay readable.
+    """
     calls = [
         (table, f"{base_url}{page}")
         for table, pages in endpoints.items()
         for page in ([pages] if isinstance(pages, str) else pages)
     ]
     spark.dataSource.register(RestRecords)
+    landed = f"{folder.rstrip('/')}/fetch-{uuid.uuid4().hex}"
     (
         spark.read.format(FORMAT)
         .option("calls", json.dumps(calls))
         .option("timeout", timeout)
         .load()
-        .write.mode("overwrite")
-        .partitionBy("table")
-        .text(folder)
+        .write.partitionBy("table")
+        .text(landed)
     )
+    return landed
 
 
-def read_landed(spark: SparkSession, folder: str, table: str) -> DataFrame:
+def read_landed(
+    spark: SparkSession, folder: str, table: str, schema: T.StructType | None = None
+) -> DataFrame:
     """One landed table, its schema inferred; nested objects become structs.
 
     Columns come in the order of the first record's keys. A table whose endpoint
-    returned no record is a frame without columns.
+    returned no record has the columns of ``schema``, or none if that is not given.
     """
     path = f"{folder}/table={table}"
     try:
         lines = spark.read.text(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            return spark.createDataFrame([], T.StructType([]))
+            return spark.createDataFrame([], schema or T.StructType([]))
         raise
     rows = spark.read.json(path)
     first = lines.select(F.json_object_keys("value")).first()
@@ -112,5 +120,5 @@ def fetch(
     spark: SparkSession, base_url: str, endpoint: str | Sequence[str], folder: str
 ) -> DataFrame:
     """Fetch one endpoint (or its pages) through ``folder``."""
-    land(spark, base_url, {"records": endpoint}, folder)
-    return read_landed(spark, folder, "records")
+    landed = land(spark, base_url, {"records": endpoint}, folder)
+    return read_landed(spark, landed, "records")

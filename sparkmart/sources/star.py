@@ -34,6 +34,8 @@ def raw_customers(spark: SparkSession, sf_dir: str, dirty: bool = True) -> DataF
     else:
         full_name, email = name, F.concat(name, F.lit("@example.com"))
     signup = F.date_add(F.lit("2000-01-01").cast("date"), (key * 37 % 730).cast("int"))
+    if dirty:
+        signup = F.when(key % 311 != 7, signup)
     nation = table(spark, sf_dir, "nation")
     return (
         table(spark, sf_dir, "customer")
@@ -51,12 +53,13 @@ def raw_customers(spark: SparkSession, sf_dir: str, dirty: bool = True) -> DataF
 
 def raw_products(spark: SparkSession, sf_dir: str, dirty: bool = True) -> DataFrame:
     key, kind = F.col("p_partkey"), F.col("p_type")
+    stock = (F.col("p_size") - 1).cast("bigint")
     return table(spark, sf_dir, "part").select(
         key.alias("product_id"),
         F.col("p_name").alias("name"),
         (F.when(key % 97 != 3, kind) if dirty else kind).alias("category"),
         _cents(key * 37 % 50000).alias("price"),
-        (F.col("p_size") - 1).cast("bigint").alias("stock"),
+        (F.when(key % 89 != 5, stock) if dirty else stock).alias("stock"),
     )
 
 
@@ -64,7 +67,9 @@ def raw_orders(spark: SparkSession, sf_dir: str, dirty: bool = True) -> DataFram
     key, buyer = F.col("o_orderkey"), F.col("o_custkey")
     amount = _cents(F.floor("o_totalprice") % 50000)
     residue = key % 4
+    day = F.col("o_orderdate").cast("date").cast("string")
     if dirty:
+        day = F.when(key % 1019 != 3, day)
         buyer = F.when(key % 1013 != 2, buyer)
         amount = F.when(key % 1009 == 0, F.lit(None)).otherwise(
             F.when(key % 997 == 0, F.lit(0).cast("decimal(10,2)")).otherwise(amount)
@@ -100,6 +105,49 @@ def raw_orders(spark: SparkSession, sf_dir: str, dirty: bool = True) -> DataFram
             F.col("quantity").cast("bigint").alias("quantity"),
             amount.alias("amount"),
             status.alias("status"),
-            F.col("o_orderdate").cast("date").cast("string").alias("order_date"),
+            day.alias("order_date"),
         )
     )
+
+
+def messy(df: DataFrame, key: str, text: str) -> DataFrame:
+    """``df`` with blanks around a text, repeated rows and rows of NULLs planted."""
+    blanks = F.when(F.col(key) % 41 == 0, F.lit(" \t")).when(
+        F.col(key) % 43 == 0, F.concat(F.lit("\n "), F.col(text), F.lit("  "))
+    )
+    padded = df.withColumn(text, F.coalesce(blanks, F.col(text)))
+    nothing = df.filter(F.col(key) % 53 == 2).select(
+        *(F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema)
+    )
+    return padded.union(padded.filter(F.col(key) % 47 == 1)).union(nothing)
+
+
+def faulty(models: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Models with repeated keys, NULLs and values outside their lists planted."""
+
+    def plant(df: DataFrame, key: str, column: str, every: int, value) -> DataFrame:
+        changed = F.when(F.col(key) % every == 3, F.lit(value).cast(df.schema[column].dataType))
+        kept = F.when(F.coalesce(F.col(key) % every != 3, F.lit(True)), F.col(column))
+        return df.withColumn(column, F.coalesce(changed, kept))
+
+    out = dict(models)
+    for name, key, faults in (
+        ("stg_orders", "order_id", (("status", 301, "unknown"), ("amount", 401, None))),
+        (
+            "stg_customers",
+            "customer_id",
+            (("customer_segment", 61, "Former"), ("email", 71, None)),
+        ),
+        (
+            "stg_products",
+            "product_id",
+            (("price_tier", 31, "Luxury"), ("stock_status", 37, "Lost")),
+        ),
+        ("mart_sales", "order_id", (("amount", 503, None),)),
+        ("mart_customers", "customer_id", (("customer_value_tier", 67, "Unknown"),)),
+    ):
+        df = out[name]
+        for column, every, value in faults:
+            df = plant(df, key, column, every, value)
+        out[name] = df.union(df.filter(F.col(key) % 89 == 4))
+    return out

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pytest
+
 from sparkmart.plans import pipeline
 from sparkmart.sources import jdbc
 
@@ -50,6 +52,15 @@ class Recorder:
     def count(self):
         return 7
 
+    def repartition(self, number):
+        self.calls.append(f"repartition {number}")
+        return self
+
+
+@pytest.fixture(autouse=True)
+def nothing_is_stored(monkeypatch):
+    monkeypatch.setattr(jdbc, "stored", lambda df, label: df)
+
 
 URL = "jdbc:any:thing"
 
@@ -70,11 +81,24 @@ def test_whole_table_and_query():
     jdbc.read_table(source, URL, "orders", {"user": "u"})
     jdbc.read_query(source, URL, "select 1")
     assert source.options_seen == [
-        {"user": "u", "url": URL, "dbtable": "orders"},
-        {"url": URL, "query": "select 1"},
+        {"fetchsize": "10000", "user": "u", "url": URL, "dbtable": "orders"},
+        {"fetchsize": "10000", "url": URL, "query": "select 1"},
     ]
 
 
+def test_fetch_size_can_be_set():
+    source = Recorder()
+    jdbc.read_table(source, URL, "orders", {"fetchsize": "5"})
+    assert source.options_seen[0]["fetchsize"] == "5"
+
+
+def test_shop_tables_are_read_in_parallel_by_default():
+    source = Recorder(first=(1, 9))
+    pipeline.db_frames(source, URL)
+    counts = {o["numPartitions"] for o in source.options_seen if "dbtable" in o}
+    assert counts == {str(jdbc.PARTITIONS)}
+
+
 def test_parallel_read_asks_for_bounds_first():
     source = Recorder(first=(5, 50))
     jdbc.read_table(source, URL, "orders", split_column="order_id", partitions=3)
@@ -94,7 +118,7 @@ def test_shop_tables_are_split_by_their_keys():
 def test_write_compares_counts():
     sink = Recorder(first=(7,))
     assert jdbc.write_table(sink, URL, "orders") == 7
-    assert sink.calls[:3] == ["jdbc", "overwrite", "save"]
+    assert sink.calls[:4] == ["repartition 8", "jdbc", "overwrite", "save"]
     lossy = Recorder(first=(8,))
     try:
         jdbc.write_table(lossy, URL, "orders")

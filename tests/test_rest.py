@@ -6,6 +6,7 @@ import json
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import types as T
 
 from sparkmart.plans import pipeline
 from sparkmart.sources import rest
@@ -85,3 +86,26 @@ def test_api_frames_keep_a_csv_copy(spark, service, tmp_path):
     assert posts[0].body == 'two\nlines, "quoted"'
     users = read_csv(spark, f"{folder}/csv/api_users").filter("id = 1").first()
     assert json.loads(users.address)["geo"] == {"lat": 1.5}
+
+
+def test_a_fetch_leaves_the_folder_alone(spark, service, tmp_path):
+    folder = tmp_path / "shared"
+    folder.mkdir()
+    (folder / "mine.txt").write_text("kept")
+    users = rest.fetch(spark, service, "/users", str(folder))
+    todos = rest.fetch(spark, service, "/todos", str(folder))
+    assert (folder / "mine.txt").read_text() == "kept"
+    assert users.count() == 3 and todos.count() == 5
+
+
+def test_one_empty_endpoint_does_not_stop_the_others(spark, service, tmp_path):
+    endpoints = {"a": "/users", "b": "/none", "c": "/todos"}
+    with pytest.warns(UserWarning, match="b has no records"):
+        frames = pipeline.api_frames(spark, service, str(tmp_path / "x"), endpoints)
+    assert set(frames) == {"a", "c"} and frames["c"].count() == 5
+    schema = T.StructType([T.StructField("id", T.LongType())])
+    frames = pipeline.api_frames(
+        spark, service, str(tmp_path / "x"), endpoints, {"b": schema}
+    )
+    assert frames["b"].schema == schema and frames["b"].count() == 0
+    assert frames["a"].count() == 3

@@ -178,3 +178,17 @@ def test_shared_folder_comes_from_the_session(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     assert fresh_path(spark, "x").startswith(base)
     assert fresh_path(spark, "x") != fresh_path(spark, "x")
+
+
+def test_not_loaded_keeps_rows_without_date_or_key_once(spark):
+    kind = "order_id long, order_date string"
+    source = spark.createDataFrame(
+        [(1, "2001-01-01"), (2, None), (None, "2001-01-02"), (None, None), (3, "2001-01-02")],
+        kind,
+    )
+    held = spark.createDataFrame([(1, "2001-01-01"), (3, "2001-01-02")], kind)
+    due = incremental.not_loaded(source, held, "order_date", "order_id")
+    want = {(2, None), (None, "2001-01-02"), (None, None)}
+    assert {tuple(r) for r in due.collect()} == want
+    again = incremental.not_loaded(source, held.union(due), "order_date", "order_id")
+    assert again.count() == 0
