@@ -10,7 +10,7 @@ from __future__ import annotations
 import importlib.util
 import sys
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, reduce
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +23,7 @@ if _HERE not in sys.path:
 
 import oracle_queries  # noqa: E402
 from oracle_queries import AS_OF, INCREMENTAL_SINCE, RECENT_AS_OF  # noqa: E402
+from sparkmart import schemas  # noqa: E402
 from sparkmart.operators import cleaning, incremental, profiling, quality  # noqa: E402
 from sparkmart.plans import marts, pipeline, reports, staging  # noqa: E402
 from sparkmart.session import fresh_path  # noqa: E402
@@ -97,6 +98,19 @@ class Inputs:
             "orders": self.orders,
         }
 
+    @cached_property
+    def messy(self) -> dict[str, DataFrame]:
+        """The raw tables with blanks, repeated rows and rows of NULLs planted."""
+        return {
+            "customers": star.messy(self.customers, "customer_id", "name"),
+            "products": star.messy(self.products, "product_id", "category"),
+            "orders": star.messy(self.orders, "order_id", "status"),
+        }
+
+    @cached_property
+    def faulty(self) -> dict[str, DataFrame]:
+        return star.faulty(self.models)
+
     @cached_property
     def stg_orders(self) -> DataFrame:
         return staging.stg_orders(self.orders, self.variant)
@@ -141,23 +155,43 @@ class Inputs:
 def _clean_report(t: Inputs) -> DataFrame:
     parts = [
         cleaning.clean_report(frame).withColumn("source", F.lit(name))
-        for name, frame in (
-            ("products", t.products.select("category")),
-            ("customers", t.customers.select("city", "state")),
-        )
+        for name, frame in t.messy.items()
     ]
-    return parts[0].unionByName(parts[1])
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 def _clean_headers(t: Inputs) -> DataFrame:
-    messy = t.customers.select(
-        F.col("customer_id").alias(" Customer-ID "),
-        F.col("name").alias("Full Name"),
-        F.col("created_at").alias("Sign-Up date"),
+    messy = t.customers.toDF(
+        " Customer-ID ", "Full Name", "E-Mail", "CITY", "Home State", "Sign-Up date"
     )
     return cleaning.normalise_headers(messy)
 
 
+def _failing(t: Inputs) -> DataFrame:
+    """What fails each kind of test, as text, over the models with planted faults."""
+    found = [
+        quality.failing_rows(t.faulty[check.model], check).select(
+            F.lit(check.test).alias("test"),
+            F.col("value").cast("string").alias("value"),
+            "n_records",
+        )
+        for check in (
+            quality.Check("stg_orders", "order_id", "unique"),
+            quality.Check("stg_customers", "email", "unique"),
+            quality.Check(
+                "stg_orders", "status", "accepted_values", schemas.ORDER_STATUSES
+            ),
+        )
+    ]
+    missing = quality.Check("stg_orders", "amount", "not_null")
+    rows = quality.failing_rows(t.faulty["stg_orders"], missing).select(
+        F.lit("not_null").alias("test"),
+        F.col("order_id").cast("string").alias("value"),
+        F.lit(1).cast("bigint").alias("n_records"),
+    )
+    return reduce(DataFrame.unionByName, found, rows)
+
+
 def _csv_roundtrip(t: Inputs) -> DataFrame:
     folder = fresh_path(t.spark, "csv")
     files.write_csv(t.customers, folder)
@@ -192,27 +226,69 @@ def _fresh_layers(spark: SparkSession) -> pipeline.Layers:
     return layers
 
 
+def _in_warehouse(
+    t: Inputs, build: Callable[[pipeline.Layers], DataFrame]
+) -> DataFrame:
+    """What ``build`` makes of three new schemas, which are dropped afterwards."""
+    layers = _fresh_layers(t.spark)
+    try:
+        return files.stored(build(layers), "result")
+    finally:
+        tables.drop_schemas(t.spark, layers.all)
+
+
 def _incremental_load(t: Inputs) -> DataFrame:
-    """Load the past, then append what is due by the newest loaded date."""
-    target = f"{_fresh_layers(t.spark).raw}.orders"
-    tables.load_table(t.orders.filter(F.col("order_date") <= INCREMENTAL_SINCE), target)
-    due = incremental.not_loaded(
-        t.orders, t.spark.table(target), "order_date", "order_id"
-    )
-    tables.load_table(due.select(*t.spark.table(target).columns), target, "append")
-    return t.spark.table(target)
+    """Load the past, then append what is due by the newest loaded date, twice."""
+    key = F.when(F.col("order_id") % 1021 != 4, F.col("order_id"))
+    orders = t.orders.withColumn("order_id", key)
+
+    def build(layers: pipeline.Layers) -> DataFrame:
+        target = f"{layers.raw}.orders"
+        tables.load_table(orders.filter(F.col("order_date") <= INCREMENTAL_SINCE), target)
+        for _ in range(2):
+            held = t.spark.table(target)
+            due = incremental.not_loaded(orders, held, "order_date", "order_id")
+            tables.load_table(due.select(*held.columns), target, "append")
+        return t.spark.table(target)
+
+    return _in_warehouse(t, build)
 
 
 def _full_load(t: Inputs) -> DataFrame:
-    layers = _fresh_layers(t.spark)
-    return pipeline.run_full_load(t.spark, t.raw, layers=layers).summary
+    return _in_warehouse(
+        t, lambda layers: pipeline.run_full_load(t.spark, t.raw, layers=layers).summary
+    )
+
+
+def _load_counts(t: Inputs) -> DataFrame:
+    def build(layers: pipeline.Layers) -> DataFrame:
+        rows = pipeline.load_raw(t.spark, t.raw, layers)
+        return t.spark.createDataFrame(
+            list(rows.items()), "table_name string, row_count long"
+        )
+
+    return _in_warehouse(t, build)
+
+
+def _warehouse_listing(t: Inputs) -> DataFrame:
+    """The listing after load and build; schema names without their mark."""
+
+    def build(layers: pipeline.Layers) -> DataFrame:
+        pipeline.load_raw(t.spark, t.raw, layers)
+        pipeline.build_models(t.spark, layers, as_of=AS_OF)
+        schema = F.regexp_replace("table_schema", "_[0-9a-f]+$", "")
+        return tables.list_tables(t.spark, layers.all).withColumn("table_schema", schema)
+
+    return _in_warehouse(t, build)
 
 
 def _warehouse_models(t: Inputs) -> DataFrame:
-    layers = _fresh_layers(t.spark)
-    pipeline.load_raw(t.spark, t.raw, layers)
-    pipeline.build_models(t.spark, layers, as_of=AS_OF)
-    return pipeline.query(t.spark, f"select * from {layers.marts}.mart_sales")
+    def build(layers: pipeline.Layers) -> DataFrame:
+        pipeline.load_raw(t.spark, t.raw, layers)
+        pipeline.build_models(t.spark, layers, as_of=AS_OF)
+        return pipeline.query(t.spark, f"select * from {layers.marts}.mart_sales")
+
+    return _in_warehouse(t, build)
 
 
 def _report_queries(suffix: str) -> dict[str, Callable[[Inputs], DataFrame]]:
@@ -250,14 +326,10 @@ _CORE = {
     "recent_orders_30d": lambda t: incremental.last_days(
         t.orders, "order_date", 30, RECENT_AS_OF
     ),
-    "clean_drop_empty": lambda t: cleaning.drop_empty(t.products.select("category")),
+    "clean_drop_empty": lambda t: cleaning.drop_empty(t.messy["products"]),
     "clean_headers": _clean_headers,
-    "clean_strip": lambda t: cleaning.strip_text(
-        t.customers.select("customer_id", "name", "email")
-    ),
-    "clean_dedupe": lambda t: cleaning.drop_duplicates(
-        t.customers.select("city", "state")
-    ),
+    "clean_strip": lambda t: cleaning.strip_text(t.messy["customers"]),
+    "clean_dedupe": lambda t: cleaning.drop_duplicates(t.messy["orders"]),
     "clean_report": _clean_report,
     "profile_shape": lambda t: profiling.shape(t.orders),
     "profile_nulls": lambda t: profiling.column_profile(t.orders),
@@ -274,6 +346,8 @@ _CORE = {
     "dq_not_null": lambda t: quality.run(t.models, tests=("not_null",)),
     "dq_accepted_values": lambda t: quality.run(t.models, tests=("accepted_values",)),
     "dq_suite": lambda t: quality.run(t.models),
+    "dq_planted": lambda t: quality.run(t.faulty),
+    "dq_failing_values": _failing,
     "dq_failing_rows": lambda t: quality.failing_rows(
         t.sales_lines, quality.Check("mart_sales", "customer_id", "not_null")
     ).select("order_id", "order_date", "amount"),
@@ -281,6 +355,8 @@ _CORE = {
     "json_roundtrip": _json_roundtrip,
     "incremental_load": _incremental_load,
     "full_load": _full_load,
+    "load_counts": _load_counts,
+    "warehouse_listing": _warehouse_listing,
     "warehouse_models": _warehouse_models,
 }
 _LITE = {**_model_queries("_lite"), **_report_queries("_lite")}

@@ -9,13 +9,37 @@ from __future__ import annotations
 
 AS_OF = "2001-12-31"
 INCREMENTAL_SINCE = "2001-07-01"
-RECENT_AS_OF = "2001-07-31"
+RECENT_AS_OF = "2001-07-20"
 
 _TWO_PLACES = (
     "CAST(CAST({n} AS DECIMAL(12,2)) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(10,2))"
 )
 
 
+# Fixed values: (upper bound, whether it belongs, label) in rising order; the last label
+# is for all above, and for NULL.
+_LADDERS = {
+    "customer_segment": ((90, True, "New"), (365, True, "Regular"), "Veteran"),
+    "price_tier": ((50, False, "Budget"), (200, False, "Mid-Range"), "Premium"),
+    "stock_status": ((0, True, "Out of Stock"), (10, False, "Low Stock"), "In Stock"),
+    "customer_value_tier": (
+        (0, True, "No Orders"),
+        (500, False, "Low Value"),
+        (2000, False, "Mid Value"),
+        "High Value",
+    ),
+}
+
+
+def _ladder(name: str, value: str) -> str:
+    *steps, above = _LADDERS[name]
+    arms = " ".join(
+        f"WHEN {value} {'<=' if belongs else '<'} {bound} THEN '{label}'"
+        for bound, belongs, label in steps
+    )
+    return f"CASE WHEN {value} IS NULL THEN '{above}' {arms} ELSE '{above}' END AS {name}"
+
+
 def _raw_customers(dirty: bool) -> str:
     if dirty:
         name = (
@@ -28,31 +52,39 @@ def _raw_customers(dirty: bool) -> str:
         )
     else:
         name, email = "c_name", "c_name || '@example.com'"
+    day = (
+        "CAST(DATE '2000-01-01' + CAST(c_custkey * 37 % 730 AS INTEGER) AS VARCHAR)"
+    )
+    if dirty:
+        day = f"CASE WHEN c_custkey % 311 <> 7 THEN {day} END"
     return f"""raw_customers AS (
         SELECT c_custkey AS customer_id, {name} AS name, {email} AS email,
                'City ' || (c_custkey % 40) AS city, n_name AS state,
-               CAST(DATE '2000-01-01' + CAST(c_custkey * 37 % 730 AS INTEGER)
-                    AS VARCHAR) AS created_at
+               {day} AS created_at
         FROM customer, nation WHERE c_nationkey = n_nationkey)"""
 
 
 def _raw_products(dirty: bool) -> str:
     category = "CASE WHEN p_partkey % 97 = 3 THEN NULL ELSE p_type END" if dirty else "p_type"
+    stock = "CAST(p_size - 1 AS BIGINT)"
+    if dirty:
+        stock = f"CASE WHEN p_partkey % 89 <> 5 THEN {stock} END"
     return f"""raw_products AS (
         SELECT p_partkey AS product_id, p_name AS name, {category} AS category,
                {_TWO_PLACES.format(n='((p_partkey * 37) % 50000)')} AS price,
-               CAST(p_size - 1 AS BIGINT) AS stock
+               {stock} AS stock
         FROM part)"""
 
 
 def _raw_orders(dirty: bool) -> str:
     amount = _TWO_PLACES.format(n="(CAST(floor(o_totalprice) AS BIGINT) % 50000)")
-    buyer = "o_custkey"
+    buyer, day = "o_custkey", "CAST(CAST(o_orderdate AS DATE) AS VARCHAR)"
     status = (
         "CASE o_orderkey % 4 WHEN 0 THEN 'completed' WHEN 1 THEN 'pending' "
         "WHEN 2 THEN 'cancelled' ELSE 'refunded' END"
     )
     if dirty:
+        day = f"CASE WHEN o_orderkey % 1019 <> 3 THEN {day} END"
         buyer = "CASE WHEN o_orderkey % 1013 = 2 THEN NULL ELSE o_custkey END"
         amount = (
             "CASE WHEN o_orderkey % 1009 = 0 THEN NULL "
@@ -67,7 +99,7 @@ def _raw_orders(dirty: bool) -> str:
         SELECT o_orderkey AS order_id, {buyer} AS customer_id,
                lines.product_id, lines.quantity,
                CAST({amount} AS DECIMAL(10,2)) AS amount, {status} AS status,
-               CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS order_date
+               {day} AS order_date
         FROM orders LEFT JOIN (
             SELECT l_orderkey, min(l_partkey) AS product_id,
                    CAST(max(l_quantity) AS BIGINT) AS quantity
@@ -87,34 +119,32 @@ def _staging(variant: str, dirty: bool = True) -> str:
                CAST(customer_id AS INTEGER) AS customer_id,
                CAST(product_id AS INTEGER) AS product_id,
                CAST(quantity AS INTEGER) AS quantity, amount,
-               trim(lower(status)) AS status,
+               lower(trim(status)) AS status,
                CAST(order_date AS DATE) AS order_date,
                CAST(substr(order_date, 1, 4) AS BIGINT) AS order_year,
                CAST(substr(order_date, 6, 2) AS BIGINT) AS order_month,
                coalesce(lower(status) = 'completed', false) AS is_completed,
                coalesce(lower(status) = 'cancelled', false) AS is_cancelled,
-               amount * coalesce(lower(status) = 'completed', false)::INTEGER
+               CASE WHEN lower(status) = 'completed' THEN amount ELSE 0 END
                    AS completed_revenue
         FROM raw_orders
         WHERE amount > 0 AND order_id IS NOT NULL
               {'AND customer_id IS NOT NULL' if core else ''}),
     stg_customers AS (
         SELECT CAST(customer_id AS INTEGER) AS customer_id,
-               trim(name) AS customer_name, trim(lower(email)) AS email,
+               trim(name) AS customer_name, lower(trim(email)) AS email,
                trim(city) AS city, trim(state) AS state,
                CAST(created_at AS DATE) AS created_at,
                {age} AS days_since_signup,
-               if({age} > 365, 'Veteran', if({age} > 90, 'Regular', 'New'))
-                   AS customer_segment
+               {_ladder("customer_segment", age)}
         FROM raw_customers
         WHERE customer_id IS NOT NULL
               {'AND name IS NOT NULL AND email IS NOT NULL' if core else ''}),
     stg_products AS (
         SELECT CAST(product_id AS INTEGER) AS product_id, trim(name) AS product_name,
                trim(category) AS category, price, CAST(stock AS INTEGER) AS stock,
-               if(price >= 200, 'Premium', if(price >= 50, 'Mid-Range', 'Budget'))
-                   AS price_tier
-               {", if(stock >= 10, 'In Stock', if(stock = 0, 'Out of Stock', 'Low Stock')) AS stock_status" if core else ''}
+               {_ladder("price_tier", "price")}
+               {"," + _ladder("stock_status", "stock") if core else ''}
         FROM raw_products WHERE price > 0 AND product_id IS NOT NULL)"""
 
 
@@ -138,11 +168,6 @@ def _marts(variant: str, dirty: bool = True) -> str:
         LEFT JOIN stg_products AS item ON item.product_id = sale.product_id
         LEFT JOIN stg_customers AS buyer ON buyer.customer_id = sale.customer_id
         {window})"""
-    tier = (
-        "if(total_completed_spend >= 2000, 'High Value', "
-        "if(total_completed_spend >= 500, 'Mid Value', "
-        "if(total_completed_spend > 0, 'Low Value', 'No Orders')))"
-    )
     # count(order_id) and the sums see no rows for a customer without orders.
     measures = """count(sale.order_id) AS total_orders,
                coalesce(sum(completed_revenue), 0) AS total_completed_spend,
@@ -161,7 +186,8 @@ def _marts(variant: str, dirty: bool = True) -> str:
         FROM stg_customers AS buyer
         LEFT JOIN stg_orders AS sale ON sale.customer_id = buyer.customer_id
         GROUP BY ALL),
-    mart_customers AS (SELECT *, {tier} AS customer_value_tier FROM spend)"""
+    mart_customers AS (
+        SELECT *, {_ladder("customer_value_tier", "total_completed_spend")} FROM spend)"""
     return f"{_staging(variant, dirty)}, {sales}, {customers}"
 
 
@@ -252,7 +278,7 @@ def _reports(variant: str) -> dict[str, str]:
     return {f"{name}{suffix}": f"WITH {marts} {sql}" for name, sql in found.items()}
 
 
-# (model, column, test, accepted values) of the whole suite.
+# Fixed values: (model, column, test, accepted values) of the whole suite.
 _TESTS = [
     ("stg_orders", "order_id", "unique", ()),
     ("stg_orders", "order_id", "not_null", ()),
@@ -301,11 +327,138 @@ _TESTS = [
 ]
 
 
-def _suite(tests: tuple[str, ...], dirty: bool = True) -> str:
+# Columns of messy raw tables: key, and the text that gets blanks.
+_MESSY = {
+    "customers": ("customer_id", "name", _RAW_CUSTOMER),
+    "products": ("product_id", "category", _RAW_PRODUCT),
+    "orders": ("order_id", "status", _RAW_ORDER),
+}
+_SPACE = "' ' || chr(9) || chr(10)"
+
+
+def _names(spec: str) -> list[str]:
+    return [word.partition(":")[0] for word in spec.split()]
+
+
+def _messy() -> str:
+    """CTEs messy_*: blanks, repeated rows and rows of NULLs planted."""
+    parts = [_raw()]
+    for name, (key, text, spec) in _MESSY.items():
+        padded = ", ".join(
+            f"CASE WHEN {key} % 41 = 0 THEN ' ' || chr(9) "
+            f"WHEN {key} % 43 = 0 THEN coalesce(chr(10) || ' ' || {text} || '  ', {text}) "
+            f"ELSE {text} END AS {c}"
+            if c == text
+            else c
+            for c in _names(spec)
+        )
+        nothing = ", ".join(f"NULL AS {c}" for c in _names(spec))
+        parts.append(
+            f"""padded_{name} AS (SELECT {padded} FROM raw_{name}),
+    messy_{name} AS (
+        SELECT * FROM padded_{name}
+        UNION ALL SELECT * FROM padded_{name} WHERE {key} % 47 = 1
+        UNION ALL SELECT {nothing} FROM raw_{name} WHERE {key} % 53 = 2)"""
+        )
+    return ", ".join(parts)
+
+
+def _stripped(spec: str) -> str:
+    """Columns with white space taken off all texts, levelled."""
+    return ", ".join(
+        f"trim({word}, {_SPACE}) AS {word}"
+        if ":" not in word
+        else _columns(word)
+        for word in spec.split()
+    )
+
+
+def _clean_reports() -> str:
     parts = []
-    for model, column, test, values in _TESTS:
+    for name, (_, _, spec) in _MESSY.items():
+        names = _names(spec)
+        some = " OR ".join(f"{c} IS NOT NULL" for c in names)
+        text = [w for w in spec.split() if ":" not in w]
+        columns = ", ".join(f"trim({c}, {_SPACE}) AS {c}" if c in text else c for c in names)
+        parts.append(
+            f"""SELECT '{name}' AS source, (SELECT count(*) FROM messy_{name}) AS rows_in,
+            (SELECT count(*) FROM messy_{name} WHERE NOT ({some})) AS empty_removed,
+            (SELECT count(*) FROM messy_{name} WHERE {some})
+              - (SELECT count(*) FROM (SELECT DISTINCT {columns} FROM messy_{name}
+                 WHERE {some})) AS duplicates_removed,
+            (SELECT count(*) FROM (SELECT DISTINCT {columns} FROM messy_{name}
+                 WHERE {some})) AS rows_out,
+            CAST({len(names)} AS BIGINT) AS columns_out"""
+        )
+    return f"WITH {_messy()} " + " UNION ALL ".join(parts)
+
+
+# Faults planted for the quality suite: (column, one in so many keys, value).
+_FAULTS = {
+    "stg_orders": ("order_id", (("status", 301, "'unknown'"), ("amount", 401, "NULL"))),
+    "stg_customers": (
+        "customer_id",
+        (("customer_segment", 61, "'Former'"), ("email", 71, "NULL")),
+    ),
+    "stg_products": (
+        "product_id",
+        (("price_tier", 31, "'Luxury'"), ("stock_status", 37, "'Lost'")),
+    ),
+    "mart_sales": ("order_id", (("amount", 503, "NULL"),)),
+    "mart_customers": ("customer_id", (("customer_value_tier", 67, "'Unknown'"),)),
+}
+
+
+def _faulty() -> str:
+    """CTEs faulty_*: the models with faults and repeated rows planted."""
+    parts = [_marts("core")]
+    for name, (key, faults) in _FAULTS.items():
+        changed = ", ".join(
+            f"CASE WHEN {key} % {every} = 3 THEN {value} ELSE {column} END AS {column}"
+            for column, every, value in faults
+        )
+        parts.append(
+            f"""planted_{name} AS (SELECT * REPLACE ({changed}) FROM {name}),
+    faulty_{name} AS (
+        SELECT * FROM planted_{name}
+        UNION ALL SELECT * FROM planted_{name} WHERE {key} % 89 = 4)"""
+        )
+    return ", ".join(parts)
+
+
+def _failing_values() -> str:
+    allowed = ", ".join(f"'{v}'" for v in _TESTS[5][3])
+
+    def counted(test: str, model: str, column: str, which: str) -> str:
+        return (
+            f"SELECT '{test}' AS test, CAST({column} AS VARCHAR) AS value, "
+            f"count(*) AS n_records FROM faulty_{model} WHERE {which}"
+        )
+
+    return f"WITH {_faulty()} " + " UNION ALL ".join(
+        (
+            counted("unique", "stg_orders", "order_id", "order_id IS NOT NULL")
+            + " GROUP BY order_id HAVING count(*) > 1",
+            counted("unique", "stg_customers", "email", "email IS NOT NULL")
+            + " GROUP BY email HAVING count(*) > 1",
+            counted(
+                "accepted_values", "stg_orders", "status", f"status NOT IN ({allowed})"
+            )
+            + " GROUP BY status",
+            "SELECT 'not_null', CAST(order_id AS VARCHAR), 1 FROM faulty_stg_orders "
+            "WHERE amount IS NULL",
+        )
+    )
+
+
+def _suite(
+    tests: tuple[str, ...], dirty: bool = True, models: str | None = None, prefix: str = ""
+) -> str:
+    parts = []
+    for name, column, test, values in _TESTS:
         if test not in tests:
             continue
+        model = prefix + name
         if test == "unique":
             failures = (
                 f"(SELECT count(*) FROM (SELECT 1 FROM {model} WHERE {column} IS NOT NULL "
@@ -320,10 +473,10 @@ def _suite(tests: tuple[str, ...], dirty: bool = True) -> str:
                 f"WHERE {column} NOT IN ({allowed}))"
             )
         parts.append(
-            f"SELECT '{model}' AS model, '{column}' AS column_name, '{test}' AS test, "
+            f"SELECT '{name}' AS model, '{column}' AS column_name, '{test}' AS test, "
             f"{failures} AS failures, {failures} = 0 AS passed"
         )
-    return f"WITH {_marts('core', dirty)} " + " UNION ALL ".join(parts)
+    return f"WITH {models or _marts('core', dirty)} " + " UNION ALL ".join(parts)
 
 
 _ALL_TESTS = ("unique", "not_null", "accepted_values")
@@ -332,7 +485,8 @@ _ALL_TESTS = ("unique", "not_null", "accepted_values")
 def build() -> dict[str, str]:
     """One statement per registered query."""
     raw = _raw()
-    stripped = "customer_id, trim(name) AS name, trim(email) AS email"
+    messy = _messy()
+    some_product = " OR ".join(f"{c} IS NOT NULL" for c in _names(_RAW_PRODUCT))
     order_profile = " UNION ALL ".join(
         f"SELECT CAST({position} AS BIGINT) AS position, '{word.partition(':')[0]}' "
         f"AS column_name, '{kind}' AS data_type, "
@@ -357,23 +511,17 @@ def build() -> dict[str, str]:
             "raw_orders WHERE CAST(order_date AS DATE) >= "
             f"DATE '{RECENT_AS_OF}' - INTERVAL 30 DAY",
         ),
-        "clean_drop_empty": f"WITH {raw} SELECT category FROM raw_products "
-        "WHERE category IS NOT NULL",
+        "clean_drop_empty": _from(
+            messy, _RAW_PRODUCT, f"messy_products WHERE {some_product}"
+        ),
         "clean_headers": f"WITH {raw} SELECT customer_id, name AS full_name, "
-        "created_at AS sign_up_date FROM raw_customers",
-        "clean_strip": f"WITH {raw} SELECT {stripped} FROM raw_customers",
-        "clean_dedupe": f"WITH {raw} SELECT city, state FROM raw_customers GROUP BY ALL",
-        "clean_report": f"""WITH {raw}
-            SELECT 'products' AS source, count(*) AS rows_in,
-                   count(*) - count(category) AS empty_removed,
-                   count(category) - count(DISTINCT category) AS duplicates_removed,
-                   count(DISTINCT category) AS rows_out,
-                   CAST(1 AS BIGINT) AS columns_out FROM raw_products
-            UNION ALL
-            SELECT 'customers', count(*), CAST(0 AS BIGINT),
-                   count(*) - count(DISTINCT (city, state)),
-                   count(DISTINCT (city, state)), CAST(2 AS BIGINT)
-            FROM raw_customers""",
+        "email AS e_mail, city, state AS home_state, created_at AS sign_up_date "
+        "FROM raw_customers",
+        "clean_strip": f"WITH {messy} SELECT {_stripped(_RAW_CUSTOMER)} "
+        "FROM messy_customers",
+        "clean_dedupe": f"WITH {messy} SELECT {_columns(_RAW_ORDER)} FROM "
+        "(SELECT DISTINCT * FROM messy_orders)",
+        "clean_report": _clean_reports(),
         "profile_shape": f'WITH {raw} SELECT count(*) AS "rows", '
         'CAST(7 AS BIGINT) AS "columns" FROM raw_orders',
         "profile_nulls": f"WITH {raw} {order_profile}",
@@ -399,16 +547,31 @@ def build() -> dict[str, str]:
         "dq_not_null": _suite(("not_null",)),
         "dq_accepted_values": _suite(("accepted_values",)),
         "dq_suite": _suite(_ALL_TESTS),
+        "dq_planted": _suite(_ALL_TESTS, models=_faulty(), prefix="faulty_"),
+        "dq_failing_values": _failing_values(),
+        "load_counts": f"WITH {raw} "
+        + " UNION ALL ".join(
+            f"SELECT '{name}' AS table_name, count(*) AS row_count FROM raw_{name}"
+            for name in _MESSY
+        ),
+        "warehouse_listing": """SELECT * FROM (VALUES
+            ('raw', 'customers', 1), ('raw', 'orders', 1), ('raw', 'products', 1),
+            ('staging', 'stg_customers', 1), ('staging', 'stg_orders', 1),
+            ('staging', 'stg_products', 1), ('marts', 'mart_sales', 1),
+            ('marts', 'mart_customers', 1))
+            AS t(table_schema, table_name, same_name_tables)""",
         "dq_suite_clean": _suite(_ALL_TESTS, dirty=False),
         "dq_failing_rows": _from(
             _marts("core"), "order_id:i order_date:d amount:m",
             "mart_sales WHERE customer_id IS NULL",
         ),
-        "csv_roundtrip": f"WITH {raw} SELECT {stripped}, city, state, created_at "
-        "FROM raw_customers",
+        "csv_roundtrip": f"WITH {raw} SELECT customer_id, trim(name) AS name, "
+        "trim(email) AS email, city, state, created_at FROM raw_customers",
         "json_roundtrip": f"WITH {raw} SELECT customer_id, name, email, city, state "
         "FROM raw_customers",
-        "incremental_load": _from(raw, _RAW_ORDER, "raw_orders"),
+        "incremental_load": f"WITH {raw} SELECT {_columns(_RAW_ORDER)} FROM (SELECT "
+        "* REPLACE (CASE WHEN order_id % 1021 = 4 THEN NULL ELSE order_id END AS order_id) "
+        "FROM raw_orders)",
     }
     for variant, suffix in (("core", ""), ("lite", "_lite")):
         core = variant == "core"

@@ -39,6 +39,7 @@ def _checks(model: str, column: str, *tests: str, values=()) -> list[Check]:
     return found + ([Check(model, column, "accepted_values", values)] if values else [])
 
 
+# The columns tested, by which tests.
 SUITE: tuple[Check, ...] = tuple(
     _checks("stg_orders", "order_id", "unique", "not_null")
     + _checks("stg_orders", "customer_id", "not_null")
@@ -86,56 +87,44 @@ def failing_rows(df: DataFrame, check: Check) -> DataFrame:
     raise ValueError(f"unknown test {check.test!r}")
 
 
-def _entry(check: Check, position: int) -> Column:
-    """What a row adds to a check: nothing, or the value it may fail by.
+def _repeated(df: DataFrame, check: Check) -> DataFrame:
+    """How many values fail ``unique``, or lie outside an accepted list.
 
-    ``unique`` needs every value. The other tests only see rows that fail, so a
-    clean table sends nothing through the shuffle for them.
+    Values keep their type and are counted before the shuffle, so one that fills a
+    third of the table costs one row per task; of a clean column with an accepted
+    list nothing is shuffled at all.
     """
     column = F.col(check.column)
-    entry = F.struct(
-        F.lit(position).alias("which"), column.cast("string").alias("value")
+    keep = column.isNotNull() if check.test == "unique" else _outside(check)
+    counts = (
+        df.filter(keep).groupBy(column.alias("value")).agg(F.count("*").alias("n_records"))
     )
     if check.test == "unique":
-        return F.when(column.isNotNull(), entry)
-    if check.test == "not_null":
-        return F.when(column.isNull(), entry)
-    return F.when(_outside(check), entry)
+        counts = counts.filter("n_records > 1")
+    return counts.agg(F.count("*").alias("failures")).select(
+        *_name(check), F.col("failures")
+    )
 
 
-def _failures(check: Check, position: int) -> Column:
-    ours = F.col("which") == position
-    if check.test == "unique":
-        return F.count_if(ours & (F.col("n_records") > 1))
-    if check.test == "not_null":
-        return F.coalesce(F.sum(F.when(ours, F.col("n_records"))), F.lit(0))
-    return F.count_if(ours)
+def _name(check: Check) -> list[Column]:
+    return [
+        F.lit(check.model).alias("model"),
+        F.lit(check.column).alias("column_name"),
+        F.lit(check.test).alias("test"),
+    ]
 
 
-def _run_model(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """All tests of one model from one pass over it.
+def _missing(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """All ``not_null`` tests of one model: one row per task is shuffled."""
+    counts = df.agg(*(F.count_if(F.col(c.column).isNull()).alias(c.column) for c in checks))
+    rows = (F.struct(*_name(c), F.col(c.column).alias("failures")) for c in checks)
+    return counts.select(F.inline(F.array(*rows)))
 
-    Values are counted per (test, value), with partial counts before the shuffle,
-    so a value that fills a third of the table costs one row per task.
-    """
-    entries = F.array(*(_entry(check, i) for i, check in enumerate(checks)))
-    counts = (
-        df.select(F.inline(entries))
-        .filter(F.col("which").isNotNull())
-        .groupBy("which", "value")
-        .agg(F.count(F.lit(1)).alias("n_records"))
-        .agg(*(_failures(check, i).alias(f"c{i}") for i, check in enumerate(checks)))
-    )
-    report = (
-        F.struct(
-            F.lit(check.model).alias("model"),
-            F.lit(check.column).alias("column_name"),
-            F.lit(check.test).alias("test"),
-            F.col(f"c{i}").alias("failures"),
-        )
-        for i, check in enumerate(checks)
-    )
-    return counts.select(F.inline(F.array(*report)))
+
+def _run_model(df: DataFrame, checks: Sequence[Check]) -> list[DataFrame]:
+    missing = [c for c in checks if c.test == "not_null"]
+    parts = [_repeated(df, c) for c in checks if c.test != "not_null"]
+    return parts + ([_missing(df, missing)] if missing else [])
 
 
 def run(
@@ -146,8 +135,11 @@ def run(
     """One row per test: model, column_name, test, failures, passed."""
     chosen = [check for check in checks if check.test in tests]
     reports = [
-        _run_model(models[name], [check for check in chosen if check.model == name])
+        part
         for name in dict.fromkeys(check.model for check in chosen)
+        for part in _run_model(
+            models[name], [check for check in chosen if check.model == name]
+        )
     ]
     return reduce(DataFrame.unionByName, reports).withColumn(
         "passed", F.col("failures") == 0

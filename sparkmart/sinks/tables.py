@@ -2,25 +2,34 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from .files import stored
 
 MODES = ("replace", "append")
 
 
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def create_schemas(
     spark: SparkSession, schemas: Sequence[str], location: str | None = None
 ) -> None:
     """Create the schemas that are missing, under ``location`` when given."""
     for schema in schemas:
         place = f" location '{location}/{schema}'" if location else ""
-        spark.sql(f"create schema if not exists {schema}{place}")
+        spark.sql(f"create schema if not exists {_quoted(schema)}{place}")
+
+
+def drop_schemas(spark: SparkSession, schemas: Sequence[str]) -> None:
+    """Drop schemas with all their tables and views."""
+    for schema in schemas:
+        spark.sql(f"drop schema if exists {_quoted(schema)} cascade")
 
 
 def replace_table(
@@ -76,25 +85,22 @@ def list_tables(spark: SparkSession, schemas: Sequence[str]) -> DataFrame:
     ``same_name_tables`` counts the catalog entries of any schema that carry the
     same name. It is not a row count; :func:`row_count` is.
     """
-    everywhere = [row.name for row in spark.catalog.listDatabases()]
-    entries = reduce(
-        DataFrame.unionByName,
-        (
-            spark.sql(f"show tables in {name}")
-            .filter(~F.col("isTemporary"))
-            .select(
-                F.col("namespace").alias("table_schema"),
-                F.col("tableName").alias("table_name"),
-            )
-            for name in everywhere
-        ),
-    )
-    same_name = entries.groupBy("table_name").agg(
-        F.count(F.lit(1)).alias("same_name_tables")
-    )
-    return (
-        entries.filter(F.col("table_schema").isin(*schemas))
-        .join(same_name, "table_name")
-        .select("table_schema", "table_name", "same_name_tables")
-        .orderBy("table_schema", "table_name")
-    )
+    wanted = set(schemas)
+    own = [
+        (name, entry.name)
+        for name in schemas
+        for entry in spark.catalog.listTables(name)
+        if not entry.isTemporary
+    ]
+    same = Counter(name for _, name in own)
+    # Elsewhere only entries that carry one of these names are asked for.
+    pattern = "|".join(sorted(same))
+    for database in spark.catalog.listDatabases() if same else ():
+        if database.name not in wanted:
+            for entry in spark.catalog.listTables(database.name, pattern):
+                if not entry.isTemporary:
+                    same[entry.name] += 1
+    rows = [(schema, name, same[name]) for schema, name in own]
+    return spark.createDataFrame(
+        rows, "table_schema string, table_name string, same_name_tables long"
+    ).orderBy("table_schema", "table_name")
