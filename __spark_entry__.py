@@ -192,9 +192,9 @@ def _failing(t: Inputs) -> DataFrame:
     return reduce(DataFrame.unionByName, found, rows)
 
 
-def _csv_roundtrip(t: Inputs) -> DataFrame:
+def _csv_roundtrip(t: Inputs, name: str = "customers") -> DataFrame:
     folder = fresh_path(t.spark, "csv")
-    files.write_csv(t.customers, folder)
+    files.write_csv(t.raw[name], folder)
     return delimited.load_and_clean(t.spark, folder)
 
 
@@ -352,6 +352,8 @@ _CORE = {
         t.sales_lines, quality.Check("mart_sales", "customer_id", "not_null")
     ).select("order_id", "order_date", "amount"),
     "csv_roundtrip": _csv_roundtrip,
+    "csv_roundtrip_products": lambda t: _csv_roundtrip(t, "products"),
+    "csv_roundtrip_orders": lambda t: _csv_roundtrip(t, "orders"),
     "json_roundtrip": _json_roundtrip,
     "incremental_load": _incremental_load,
     "full_load": _full_load,

@@ -567,6 +567,10 @@ def build() -> dict[str, str]:
         ),
         "csv_roundtrip": f"WITH {raw} SELECT customer_id, trim(name) AS name, "
         "trim(email) AS email, city, state, created_at FROM raw_customers",
+        "csv_roundtrip_products": f"WITH {raw} SELECT {_stripped(_RAW_PRODUCT)} "
+        "FROM raw_products",
+        "csv_roundtrip_orders": f"WITH {raw} SELECT {_stripped(_RAW_ORDER)} "
+        "FROM raw_orders",
         "json_roundtrip": f"WITH {raw} SELECT customer_id, name, email, city, state "
         "FROM raw_customers",
         "incremental_load": f"WITH {raw} SELECT {_columns(_RAW_ORDER)} FROM (SELECT "

@@ -67,6 +67,10 @@ def clean_report(df: DataFrame) -> DataFrame:
     )
 
 
+#: What reads as a number: digits with an optional point and exponent, or infinity.
+_NUMBER = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity)\s*$"
+
+
 def _holds(column: Column, kind: str) -> Column:
     """Whether no non-NULL text fails to read as ``kind``."""
     if kind == "boolean":
@@ -76,7 +80,7 @@ def _holds(column: Column, kind: str) -> Column:
             "bigint"
         ).isNotNull()
     else:
-        readable = column.try_cast(kind).isNotNull()
+        readable = column.rlike(_NUMBER) & F.trim(column).try_cast(kind).isNotNull()
     return F.coalesce(F.bool_and(readable | column.isNull()), F.lit(True))
 
 

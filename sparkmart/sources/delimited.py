@@ -14,6 +14,9 @@ long one behind them.
 from __future__ import annotations
 
 import csv
+from functools import reduce
+from typing import NamedTuple
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -36,10 +39,51 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
         raise
 
 
-def _has_open_quote(lines: DataFrame) -> bool:
-    """Whether some line holds an odd number of quotes, so a field may go on."""
+class _File(NamedTuple):
+    path: str
+    first: str  # the first line that is not blank
+    open: bool  # whether a field may go on behind some line
+
+
+def _files(lines: DataFrame) -> list[_File]:
+    """The files behind ``lines`` that have a line at all, from one pass over them.
+
+    A field may go on where a line has an odd number of quotes; only the file that has
+    such a line can't be split.
+    """
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    return not lines.filter(quotes % 2 == 1).isEmpty()
+    found = (
+        lines.select(
+            "value",
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("at"),
+            (quotes % 2 == 1).alias("open"),
+        )
+        .filter(F.trim("value") != "")
+        .groupBy("file")
+        .agg(
+            F.min_by("value", F.struct("block", "at")).alias("first"),
+            F.bool_or("open").alias("open"),
+        )
+        .orderBy("file")
+    )
+    return [_File(unquote(r.file), r.first, r.open) for r in found.collect()]
+
+
+def _header(spark: SparkSession, files: list[_File], sep: str) -> list[str]:
+    """The header that all files share; differing ones raise."""
+    headers = []
+    for first, path in {f.first: f.path for f in files}.items():
+        if first.count('"') % 2 == 0:
+            headers.append(next(csv.reader([first], delimiter=sep)))
+        else:  # the header goes on behind its first line
+            reader = spark.read.options(sep=sep, quote='"', escape='"', multiLine=True)
+            headers.append([field or "" for field in reader.csv(path).first()])
+    for other in headers[1:]:
+        if other != headers[0]:
+            raise ValueError(f"files have differing headers: {headers[0]} and {other}")
+    return file_headers(headers[0])
 
 
 def _too_long(width: int, sep: str) -> Column:
@@ -56,37 +100,42 @@ def read_csv(
     sep: str = ",",
     multi_line: bool | None = None,
 ) -> DataFrame:
-    """Read CSV files that share one header line; all columns are text.
+    """Read CSV files that share one header; all columns are text.
 
-    Files with line breaks inside fields cannot be split over tasks. When
-    ``multi_line`` is not given, one pass over the lines finds out whether any
-    field may continue on the next line; if none can, files are split.
+    A file with line breaks inside fields cannot be split over tasks. When
+    ``multi_line`` is not given, one pass over the lines finds the files in which a
+    field may continue on the next line; all others are split. Files whose headers
+    differ raise.
     """
-    lines = _lines(spark, path)
-    first = lines.filter(F.trim("value") != "").first()
-    if first is None:
+    files = _files(_lines(spark, path))
+    if not files:
         raise ValueError(f"no columns to read in {path}")
-    names = file_headers(next(csv.reader([first.value], delimiter=sep)))
-    if multi_line is None:
-        multi_line = _has_open_quote(lines)
+    names = _header(spark, files, sep)
     slots = [f"c{i}" for i in range(len(names))]
     schema = T.StructType([T.StructField(s, T.StringType()) for s in slots + [_CORRUPT]])
-    rows = (
-        spark.read.schema(schema)
-        .options(
-            header=True,
-            sep=sep,
-            quote='"',
-            escape='"',
-            encoding="UTF-8",
-            mode="PERMISSIVE",
-            columnNameOfCorruptRecord=_CORRUPT,
-            # Pruned columns would hide lines of the wrong length.
-            columnPruning=False,
-            multiLine=multi_line,
-        )
-        .csv(path)
-    )
+    parts = []
+    for whole in (True, False):
+        paths = [
+            f.path for f in files if (f.open if multi_line is None else multi_line) == whole
+        ]
+        if paths:
+            parts.append(
+                spark.read.schema(schema)
+                .options(
+                    header=True,
+                    sep=sep,
+                    quote='"',
+                    escape='"',
+                    encoding="UTF-8",
+                    mode="PERMISSIVE",
+                    columnNameOfCorruptRecord=_CORRUPT,
+                    # Pruned columns would hide lines of the wrong length.
+                    columnPruning=False,
+                    multiLine=whole,
+                )
+                .csv(paths)
+            )
+    rows = reduce(DataFrame.union, parts)
     # The last term is never true; Spark refuses a scan (such as for a count) that
     # would need the corrupt-record column alone.
     fits = (

@@ -151,3 +151,35 @@ def test_write_then_read(spark, tmp_path):
     )
     assert sorted(frame.t.dropna()) == [' a,"b"\nc ']
     assert back.filter(F.col("t").isNull()).count() == 1
+
+
+@pytest.mark.parametrize("column", [["1D", "2F"], ["0x1p3"], ["12d", "13"], ["1e3", "inf"], ["1.", ".5"], ["1_000"], ["+1", " 2"]])
+def test_types_are_those_of_pandas(spark, tmp_path, column):
+    text = "a,b\n" + "".join(f"{value},x\n" for value in column)
+    want = pd.read_csv(io.StringIO(text))["a"]
+    got = load_and_clean(spark, put(tmp_path, text))
+    kind = dict(got.dtypes)["a"]
+    assert kind == {"int64": "bigint", "float64": "double"}.get(str(want.dtype), "string")
+    assert {r.a for r in got.collect()} == set(want.tolist())
+
+
+def test_header_with_a_line_break(spark, tmp_path):
+    text = 'a,"two\nlines"\n1,2\n'
+    assert list(read_csv(spark, put(tmp_path, text)).columns) == ["a", "two\nlines"]
+    assert spark_rows(read_csv(spark, put(tmp_path, text))) == [("1", "2")]
+
+
+def test_differing_headers_raise(spark, tmp_path):
+    put(tmp_path, "id,name\n1,x\n", "one.csv")
+    put(tmp_path, "name,id\ny,2\n", "two.csv")
+    with pytest.raises(ValueError, match="differing headers"):
+        read_csv(spark, str(tmp_path))
+
+
+def test_only_the_file_with_an_open_quote_is_unsplit(spark, tmp_path):
+    put(tmp_path, 'a,b\n1,"x\ny"\n', "one.csv")
+    put(tmp_path, "a,b\n2,z\n3,w\n", "two b.csv")
+    df = read_csv(spark, str(tmp_path))
+    assert spark_rows(df) == [("1", "x\ny"), ("2", "z"), ("3", "w")]
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == 2
