@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkmart.llm.tables import bounded, stored
@@ -27,6 +27,8 @@ ROUNDS = 8
 #: Steps towards the scale at which the budget is met.
 STEPS = 6
 SEED = "mix"
+#: Cells that are fitted in one task.
+LOCAL_CELLS = 100_000
 
 # Phrases that mark licence text, and token counts that part texts by length.
 LEGAL = ("Licensed under", "Released under", "All rights reserved", "Copyright")
@@ -69,39 +71,39 @@ def _described(docs: DataFrame) -> DataFrame:
     )
 
 
-def _shares(cells: DataFrame, by: str, target: Target) -> DataFrame:
-    """(by, share): target shares of the values that have tokens."""
-    seen = cells.groupBy(by).agg(F.sum("tokens").cast("double").alias("seen"))
-    if isinstance(target, Mapping):
-        given = F.create_map(*(F.lit(x) for item in target.items() for x in item))
-        part = F.coalesce(F.try_element_at(given, F.col(by)), F.lit(0.0))
-    else:
-        part = F.pow("seen", F.lit(float(target)))
-    parts = stored(seen.select(by, part.cast("double").alias("part")), f"target_{by}")
-    whole = parts.agg(F.sum("part")).first()[0] or 1.0
-    return parts.select(by, (F.col("part") / whole).alias("share"))
+def _share(cells: DataFrame, by: str, target: Target) -> Column:
+    """The target share of a cell's value of ``by``, among the values that have tokens."""
+
+    def part(tokens: Column) -> Column:
+        if isinstance(target, Mapping):
+            given = F.create_map(*(F.lit(x) for item in target.items() for x in item))
+            return F.coalesce(F.try_element_at(given, F.col(by)), F.lit(0.0)).cast("double")
+        return F.pow(tokens.cast("double"), F.lit(float(target)))
+
+    values = cells.groupBy(by).agg(F.sum("tokens").alias("seen"))
+    whole = values.agg(F.sum(part(F.col("seen")))).first()[0] or 1.0
+    return part(F.sum("tokens").over(Window.partitionBy(by))) / whole
 
 
 def rake(cells: DataFrame, targets: Mapping[str, Target], rounds: int = ROUNDS) -> DataFrame:
     """``cells`` (source, lang, topic, tokens) with a ``weight`` that meets the targets.
 
     Weights are shares of all tokens. Where targets can't all be met, the last one
-    named is, and the others as nearly as the fitting gets.
+    named is, and the others as nearly as the fitting gets. Up to ``LOCAL_CELLS`` cells
+    are fitted in one task; more are shuffled for every marginal.
     """
-    shares = {by: _shares(cells, by, target) for by, target in targets.items()}
-    fitted = cells.withColumn("weight", F.col("tokens").cast("double"))
+    few = cells.limit(LOCAL_CELLS + 1).count() <= LOCAL_CELLS
+    fitted = (cells.coalesce(1) if few else cells).select(
+        "*",
+        F.col("tokens").cast("double").alias("weight"),
+        *(_share(cells, by, t).alias(f"share_{by}") for by, t in targets.items()),
+    )
     for _ in range(rounds):
-        for by, share in shares.items():
-            held = fitted.groupBy(by).agg(F.sum("weight").alias("held"))
-            scale = held.join(share, by).select(
-                by, F.when(F.col("held") > 0, F.col("share") / F.col("held")).alias("scale")
-            )
-            fitted = fitted.join(scale, by).select(
-                *cells.columns,
-                (F.col("weight") * F.coalesce("scale", F.lit(0.0))).alias("weight"),
-            )
-        fitted = stored(fitted, "raked")
-    return fitted
+        for by in targets:
+            held = F.sum("weight").over(Window.partitionBy(by))
+            scaled = F.when(held > 0, F.col("weight") * F.col(f"share_{by}") / held)
+            fitted = fitted.withColumn("weight", F.coalesce(scaled, F.lit(0.0)))
+    return stored(fitted.select(*cells.columns, "weight"), "raked")
 
 
 def _chances(cells: DataFrame, budget: float) -> DataFrame:
