@@ -36,9 +36,9 @@ SIMILARITY = (75, 100)
 SKETCH = 32
 INDEXED = 11
 MARGIN = 5.0
-#: Set elements of one side of a comparison (8 bytes each).
-BLOCK_ELEMENTS = 1 << 19
-_COLUMNS = 4096
+#: Set elements (8 bytes each) and documents of one side of a comparison.
+BLOCK_ELEMENTS, BLOCK_DOCS = 1 << 19, 1 << 10
+_COLUMNS = 1024
 
 
 def _enough(sizes, sketch: int, similarity: float):
@@ -143,8 +143,9 @@ def _group_links(
     rank = np.arange(len(items)) - bounds[:-1][owner]
     low = rank < sketch
     overlap = _intersections(items[low], owner[low], len(sizes))
-    need = _enough(sizes, sketch, similarity[0] / similarity[1])
+    need = _enough(sizes, sketch, similarity[0] / similarity[1]).astype(np.float32)
     maybe = overlap >= np.minimum(need[:, None], need[None, :])
+    del overlap
     np.fill_diagonal(maybe, False)
     rows = np.flatnonzero(maybe.any(axis=1))
     if not len(rows):
@@ -152,9 +153,13 @@ def _group_links(
     place = np.full(len(sizes), -1)
     place[rows] = np.arange(len(rows))
     entry = place[owner] >= 0
-    both = _intersections(items[entry], place[owner[entry]], len(rows)).astype(np.int64)
-    either = sizes[rows][:, None] + sizes[rows][None, :] - both
-    linked = (similarity[1] * both >= similarity[0] * either) & maybe[np.ix_(rows, rows)]
+    both = _intersections(items[entry], place[owner[entry]], len(rows))
+    linked, own = maybe[np.ix_(rows, rows)], sizes[rows]
+    for low in range(0, len(rows), 256):
+        part = slice(low, low + 256)
+        shared = both[part].astype(np.int64)
+        union = own[part, None] + own[None, :] - shared
+        linked[part] &= similarity[1] * shared >= similarity[0] * union
     first = grouping.local_components(linked)
     moved = first != np.arange(len(rows))
     return rows[moved], rows[first[moved]]
@@ -209,7 +214,13 @@ def _comparison_groups(
         .groupBy("members", "elements", "who", "who_too")
         .agg(F.min("value").alias("value"))
         .select(
-            "value", F.ceil(F.col("elements") / BLOCK_ELEMENTS).cast("int").alias("blocks")
+            "value",
+            F.greatest(
+                F.ceil(F.col("elements") / BLOCK_ELEMENTS),
+                F.ceil(F.col("members") / BLOCK_DOCS),
+            )
+            .cast("int")
+            .alias("blocks"),
         )
     )
     own = F.expr("cast(pmod(xxhash64(doc_id, value), blocks) as int)")
