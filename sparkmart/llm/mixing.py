@@ -4,8 +4,11 @@ Documents fall into cells of source, language and topic; a cell's weight starts
 tokens. Iterative proportional fitting scales the cells to one marginal after another
 until all are met to ``TOLERANCE``, so that the weights meet the target share of every
 source, every language and every topic while the cells keep their proportions otherwise. A
-document's chance is its cell's weight for each token, scaled so that ``BUDGET`` of all
-tokens are expected, and at most 1; what a full cell can't give the others make up for.
+document's chance is its cell's weight for each token, so that ``BUDGET`` of all tokens
+are expected, and at most 1: what a full cell can't give, the open cells of the same
+source, language and topic make up for, since the fitting counts a cell up to its tokens
+only. A value with fewer tokens than its share of the budget is kept whole, and the
+other values of its kind share the rest in proportion to their targets.
 
 A target is either a share for each value, or a temperature t: shares in proportion to
 tokens to the power t (1: as observed, 0: all alike).
@@ -77,51 +80,99 @@ def _described(docs: DataFrame) -> DataFrame:
     )
 
 
-def _share(cells: DataFrame, by: str, target: Target) -> Column:
-    """The target share of a cell's value of ``by``, among the values that have tokens."""
+def _part(target: Target, by: str, tokens: Column) -> Column:
+    """What a value of ``by`` weighs among the others."""
+    if isinstance(target, Mapping):
+        given = F.create_map(*(F.lit(x) for item in target.items() for x in item))
+        return F.coalesce(F.try_element_at(given, F.col(by)), F.lit(0.0)).cast("double")
+    return F.pow(tokens.cast("double"), F.lit(float(target)))
 
-    def part(tokens: Column) -> Column:
-        if isinstance(target, Mapping):
-            given = F.create_map(*(F.lit(x) for item in target.items() for x in item))
-            return F.coalesce(F.try_element_at(given, F.col(by)), F.lit(0.0)).cast("double")
-        return F.pow(tokens.cast("double"), F.lit(float(target)))
 
-    values = cells.groupBy(by).agg(F.sum("tokens").alias("seen"))
-    whole = values.agg(F.sum(part(F.col("seen")))).first()[0] or 1.0
-    return part(F.sum("tokens").over(Window.partitionBy(by))) / whole
+def _share(cells: DataFrame, by: str, target: Target, budget: float | None) -> Column:
+    """The target share of a cell's value of ``by``, among the values that have tokens.
 
-
-def rake(cells: DataFrame, targets: Mapping[str, Target], rounds: int = ROUNDS) -> DataFrame:
+    With a budget (in tokens): the tokens to be kept of it, at most those that it has.
+    """
+    values = cells.groupBy(by).agg(F.sum("tokens").alias("seen"), F.sum("room").alias("room"))
+    values = values.withColumn("part", _part(target, by, F.col("seen")))
+    whole = values.agg(F.sum("part")).first()[0] or 1.0
+    inside = Window.partitionBy(by)
+    share = _part(target, by, F.sum("tokens").over(inside)) / whole
+    if budget is None:
+        return share
+    scale = _scale(values, F.col("part") / whole, F.col("room"), budget, budget)
+    return F.least(F.sum("room").over(inside).cast("double"), share * scale)
+
+
+def _factor(by: str, keys: list[str], budgeted: bool) -> tuple[Column, Column]:
+    """What scales the cells of a value of ``by`` to its share, as two columns.
+
+    The second is of ``factor``, the first. With a budget, cells count up to their room:
+    the factor is the largest of those found if the cells above a rate were full.
+    """
+    inside = Window.partitionBy(by)
+    share = F.col(f"share_{by}")
+    if not budgeted:
+        held = F.sum("weight").over(inside)
+        return F.when(held > 0, share / held), F.col("factor")
+    rate = F.try_divide(F.col("weight"), F.col("room"))
+    upto = inside.orderBy(rate, *keys).rowsBetween(Window.unboundedPreceding, 0)
+    open_ = F.sum("weight").over(upto)
+    full = F.sum("room").over(inside) - F.sum("room").over(upto)
+    return F.when(open_ > 0, (share - full) / open_), F.max("factor").over(inside)
+
+
+def rake(
+    cells: DataFrame,
+    targets: Mapping[str, Target],
+    rounds: int = ROUNDS,
+    budget: float | None = None,
+) -> DataFrame:
     """``cells`` (source, lang, topic, tokens) with a ``weight`` that meets the targets.
 
-    Weights are shares of all tokens. Where targets can't all be met, the last one
-    named is, and the others as nearly as the fitting gets; a warning names the miss. Up
-    to ``LOCAL_CELLS`` cells are fitted in one task; more are shuffled for every marginal.
-    ``rounds`` go into one plan.
+    Weights are shares of all tokens. With a ``budget`` (a share of all tokens), they are
+    tokens to be kept, at most those of the cell. Where targets can't all be met, the
+    last one named is, and the others as nearly as the fitting gets; a warning names the
+    miss. Up to ``LOCAL_CELLS`` cells are fitted in one task; more are shuffled for every
+    marginal. ``rounds`` go into one plan.
     """
     few = cells.limit(LOCAL_CELLS + 1).count() <= LOCAL_CELLS
-    fitted = cells.select(
+    # Cells of a value that explicit shares don't name have no room.
+    named = reduce(
+        Column.__and__,
+        (_part(t, by, F.col("tokens")) > 0 for by, t in targets.items() if isinstance(t, Mapping)),
+        F.lit(True),
+    )
+    roomy = cells.withColumn("room", F.when(named, F.col("tokens")).otherwise(0))
+    goal = None
+    if budget is not None:
+        total, room = roomy.agg(F.sum("tokens"), F.sum("room")).first()
+        goal = float(min(budget * (total or 0), room or 0))
+    fitted = roomy.select(
         "*",
-        F.col("tokens").cast("double").alias("weight"),
-        *(_share(cells, by, t).alias(f"share_{by}") for by, t in targets.items()),
+        F.col("tokens" if goal is None else "room").cast("double").alias("weight"),
+        *(_share(roomy, by, t, goal).alias(f"share_{by}") for by, t in targets.items()),
     )
     best, idle = float("inf"), 0
     while True:
         fitted = fitted.coalesce(1) if few else fitted
         for _ in range(rounds):
             for by in targets:
-                held = F.sum("weight").over(Window.partitionBy(by))
-                scaled = F.when(held > 0, F.col("weight") * F.col(f"share_{by}") / held)
-                fitted = fitted.withColumn("weight", F.coalesce(scaled, F.lit(0.0)))
+                first, second = _factor(by, cells.columns, goal is not None)
+                scaled = fitted.withColumn("factor", first).withColumn("factor", second)
+                fitted = scaled.withColumn(
+                    "weight", F.coalesce(F.col("weight") * F.col("factor"), F.lit(0.0))
+                ).drop("factor")
         fitted = stored(fitted, "raked")
-        miss = _miss(fitted, list(targets))
+        weight = F.col("weight") if goal is None else F.least("weight", "room")
+        miss = _miss(fitted.withColumn("weight", weight), list(targets))
         idle = idle + 1 if miss > 0.95 * best else 0
         best = min(best, miss)
         if miss <= TOLERANCE or idle == PATIENCE:
             break
     if miss > TOLERANCE:
         warnings.warn(f"targets can't all be met: a share is {miss:.2g} of itself off", stacklevel=2)
-    return fitted.select(*cells.columns, "weight")
+    return fitted.select(*cells.columns, weight.alias("weight"))
 
 
 def _miss(fitted: DataFrame, names: list[str]) -> float:
@@ -155,8 +206,8 @@ def _scale(rows: DataFrame, weight: Column, size: Column, goal: float, scale: fl
         before, scale = count, max(scale, (goal - kept) / open_)
 
 
-def _chances(cells: DataFrame, budget: float) -> DataFrame:
-    """Raked cells with the ``probability`` of a document."""
+def _clipped(cells: DataFrame, budget: float) -> DataFrame:
+    """Cells raked without a budget, with the ``probability`` of a document."""
     total = cells.agg(F.sum("tokens")).first()[0] or 0
     rate = F.col("weight") * float(total) / F.col("tokens")
     scale = _scale(
@@ -166,7 +217,10 @@ def _chances(cells: DataFrame, budget: float) -> DataFrame:
 
 
 def calibrated(
-    docs: DataFrame, targets: Mapping[str, Target] = TARGETS, budget: float = BUDGET
+    docs: DataFrame,
+    targets: Mapping[str, Target] = TARGETS,
+    budget: float = BUDGET,
+    refit: bool = True,
 ) -> DataFrame:
     """``docs`` with _mix_source, _mix_lang, _mix_topic, _mix_tokens, _mix_probability and
     _mix_kept.
@@ -174,6 +228,10 @@ def calibrated(
     ``docs`` has doc_id, text, source and lang; all its columns stay. The choice goes by
     a hash of the id, so it is the same in every run; rows that share an id share it.
 
+    Without ``refit``, shares are fitted as if cells had no bound and chances are clipped
+    at 1; one scale for all open cells then makes up for the tokens that full ones lack,
+    so the shares kept are off their targets.
+
     * a null source, language or id counts as an empty one;
     * a text without words (null, empty, white space) has no tokens: never kept;
     * values that explicit shares don't name have a share of 0: never kept;
@@ -187,7 +245,13 @@ def calibrated(
         .agg(F.sum("_mix_tokens").alias("tokens")),
         "cells",
     )
-    chances = _chances(rake(cells, targets), budget).select(
+    if refit:
+        chances = rake(cells, targets, budget=budget).withColumn(
+            "probability", F.col("weight") / F.col("tokens")
+        )
+    else:
+        chances = _clipped(rake(cells, targets), budget)
+    chances = chances.select(
         *(F.col(k).alias(f"_mix_{k}") for k in keys),
         F.col("probability").alias("_mix_chance"),
     )

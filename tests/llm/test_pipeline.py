@@ -82,6 +82,33 @@ def test_budget_is_met(spark):
     assert mixed.agg(F.max("_mix_probability")).first()[0] <= 1
 
 
+def test_kept_shares_meet_the_targets(spark):
+    """Many cells are full at this budget; Spanish has too few tokens for its share."""
+    docs = table(spark, SF_DIR, "documents")
+    mixed = mixing.calibrated(docs).select(
+        *(f"_mix_{by}" for by in mixing.TARGETS), "_mix_tokens", "_mix_probability"
+    ).collect()
+    total = sum(r._mix_tokens for r in mixed)
+    budget = mixing.BUDGET * total
+    assert max(r._mix_probability for r in mixed) == pytest.approx(1)
+    for by, power in mixing.TARGETS.items():
+        seen, kept = defaultdict(int), defaultdict(float)
+        for r in mixed:
+            seen[r[f"_mix_{by}"]] += r._mix_tokens
+            kept[r[f"_mix_{by}"]] += r._mix_tokens * r._mix_probability
+        part = {v: n**power for v, n in seen.items() if n}
+        short, before = set(), None
+        while short != before:
+            before = set(short)
+            rest = budget - sum(seen[v] for v in short)
+            whole = sum(x for v, x in part.items() if v not in short)
+            short |= {v for v, x in part.items() if rest * x / whole > seen[v]}
+        assert ("es" in short) == (by == "lang") and (by == "lang" or not short)
+        for value, x in part.items():
+            want = seen[value] if value in short else rest * x / whole
+            assert kept[value] == pytest.approx(want, rel=1e-5)
+
+
 def test_mixing_odd_documents(spark):
     docs = frames.clashing(frames.odd_documents(spark))
     got = mixing.calibrated(docs)
