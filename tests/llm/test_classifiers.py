@@ -103,6 +103,17 @@ def test_toxicity(spark, docs, labels):
     assert toxicity_cnn.score(docs.limit(0), model).count() == 0
 
 
+def test_toxicity_of_capitals(spark, docs, labels):
+    """Accented capitals are the same letters."""
+    model = toxicity_cnn.fit(docs, labels)
+    french = docs.where("lang = 'fr'")
+    got = [
+        {r.doc_id: r.score for r in toxicity_cnn.score(french.withColumn("text", f), model).collect()}
+        for f in (F.upper("text"), F.lower(F.upper("text")))
+    ]
+    assert got[0] == got[1] and len(got[0]) > 100
+
+
 def test_toxicity_without_labels(spark, docs, labels):
     model = toxicity_cnn.fit(docs.limit(20), labels.limit(0))
     scores_hold(toxicity_cnn.score(docs.limit(20), model), 20)
