@@ -33,7 +33,7 @@ from sparkmart.llm.tables import stored
 
 COSINE = 0.9
 STEP = 2.0
-MISS = 1e-3
+MISS = 1e-6
 #: Unrelated vectors that a bucket is to hold.
 BUCKET = 16
 #: Vectors of one side of a comparison.
@@ -177,7 +177,11 @@ def _comparisons(reps: DataFrame, own: Plan) -> DataFrame:
                 "tab", "bucket", F.least("own", "other"), F.greatest("own", "other")
             ).alias("group"),
             "tab",
-            (F.col("own") > F.col("other")).cast("int").alias("side"),
+            # Two sides also where one has no vectors; 0: a block with itself.
+            F.when(F.col("own") < F.col("other"), 1)
+            .when(F.col("own") > F.col("other"), 2)
+            .otherwise(0)
+            .alias("side"),
             "rep",
         )
     )

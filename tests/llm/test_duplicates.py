@@ -140,6 +140,20 @@ def test_embeddings(spark, monkeypatch, block):
     assert all(r.kept == (r.vec_id == r.component_id) for r in got)
 
 
+def test_no_pair_at_the_threshold_is_missed(spark):
+    rng = np.random.default_rng(8)
+    one, other = (rng.normal(size=(4000, 64)) for _ in range(2))
+    one /= np.linalg.norm(one, axis=1, keepdims=True)
+    other -= (other * one).sum(axis=1, keepdims=True) * one
+    other /= np.linalg.norm(other, axis=1, keepdims=True)
+    near = 0.9002 * one + (1 - 0.9002**2) ** 0.5 * other
+    rows = list(enumerate(np.stack([one, near], axis=1).reshape(-1, 64).tolist()))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = embedding_dedup.near_duplicates(df).collect()
+    assert len(got) == 8000
+    assert all(r.n_links == 1 and r.component_id == r.vec_id // 2 * 2 for r in got)
+
+
 def test_odd_embeddings(spark):
     nan, inf = float("nan"), float("inf")
     rows = [
