@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 
 from sparkmart.llm import (
     chat_format,
+    conversation_repair,
     decontamination,
     embedding_dedup,
     language_id,
     minhash_dedup,
     mixing,
     oracles,
+    page_text,
     quality_mil,
     secret_scan,
     token_counts,
@@ -109,6 +111,14 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair(table(spark, sf_dir, "conversations"))
+
+
+def op13_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_text.extract(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_embeddings": op1_embeddings,
@@ -121,6 +131,8 @@ def queries() -> dict[str, Query]:
         "op8_toxicity": op8_toxicity,
         "op9_minhash": op9_minhash,
         "op10_secrets": op10_secrets,
+        "op12_repair": op12_repair,
+        "op13_pages": op13_pages,
     }
 
 
