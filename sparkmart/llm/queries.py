@@ -19,6 +19,7 @@ from sparkmart.llm import (
     page_text,
     quality_mil,
     secret_scan,
+    spelling,
     token_counts,
     toxicity_cnn,
 )
@@ -111,6 +112,11 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return spelling.variants(spelling.word_counts(docs, spelling.SPOILT))
+
+
 def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.repair(table(spark, sf_dir, "conversations"))
 
@@ -131,6 +137,7 @@ def queries() -> dict[str, Query]:
         "op8_toxicity": op8_toxicity,
         "op9_minhash": op9_minhash,
         "op10_secrets": op10_secrets,
+        "op11_spelling": op11_spelling,
         "op12_repair": op12_repair,
         "op13_pages": op13_pages,
     }

@@ -26,4 +26,4 @@ def test_all_are_registered():
     registered = entry_points.queries()
     assert set(queries.queries()) <= set(registered) and "pipeline" in registered
     numbers = {int(n[2:].split("_")[0]) for n in queries.queries()}
-    assert numbers == set(range(1, 11))
+    assert numbers == set(range(1, 14))
