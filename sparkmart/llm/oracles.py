@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from sparkmart.llm import oracles_more
+
 # The kinds of secrets, and where the part that must be long begins.
 _SECRETS = {
     "assign": (
@@ -262,4 +264,12 @@ from drawn"""
 
 
 def build() -> dict[str, str]:
-    return {"op1_embeddings": _embeddings(), "op2_decontaminate": _decontaminate(), "op5_mix": _mix(), "op7_chat": _chat(), "op9_minhash": _minhash(), "op10_secrets": _secrets()}
+    return {
+        "op1_embeddings": _embeddings(),
+        "op2_decontaminate": _decontaminate(),
+        "op5_mix": _mix(),
+        "op7_chat": _chat(),
+        "op9_minhash": _minhash(),
+        "op10_secrets": _secrets(),
+        **oracles_more.build(),
+    }
