@@ -7,7 +7,6 @@ and means as DOUBLE, whole numbers as BIGINT, dates as text.
 
 from __future__ import annotations
 
-import importlib.util
 import sys
 from collections.abc import Callable
 from functools import cached_property, reduce
@@ -32,19 +31,14 @@ from sparkmart.sources import delimited, rest, star  # noqa: E402
 
 
 
-def _there(module: str) -> bool:
-    """Whether a module that may be left out of an installation is in it."""
-    try:
-        return importlib.util.find_spec(module) is not None
-    except ModuleNotFoundError:
-        return False
-
-
+# The training-data operators, or a library that they need, may not be installed.
 llm = corpus_pipeline = None
-if _there("sparkmart.llm.queries"):
+try:
     from sparkmart.llm import queries as llm
-if llm and _there("corpus_pipeline"):
+
     import corpus_pipeline
+except ImportError:
+    pass
 
 Query = Callable[[SparkSession, str], DataFrame]
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -218,6 +212,103 @@ def _json_roundtrip(t: Inputs) -> DataFrame:
     )
 
 
+def _csv_malformed(t: Inputs) -> DataFrame:
+    folder = fresh_path(t.spark, "csv")
+    star.malformed_csv(t.orders, folder)
+    return delimited.read_csv(t.spark, folder)
+
+
+def _users(t: Inputs) -> DataFrame:
+    """Customers as a service shows them, two objects deep."""
+    return t.customers.select(
+        F.col("customer_id").alias("id"),
+        F.struct("name", "email").alias("person"),
+        F.struct("city", F.struct("state", "created_at").alias("home")).alias("address"),
+    )
+
+
+def _rest_fetch(t: Inputs) -> DataFrame:
+    folder = fresh_path(t.spark, "rest")
+    pages = star.rest_pages(_users(t), "id", f"{folder}/service")
+    return rest.fetch(t.spark, "", pages, f"{folder}/landed").select(
+        F.col("id").alias("customer_id"),
+        "person.name",
+        "person.email",
+        "address.city",
+        "address.home.state",
+        "address.home.created_at",
+    )
+
+
+def _api_frames(t: Inputs) -> dict[str, DataFrame]:
+    """Three endpoints and an empty one, in pages written from the tables."""
+    folder = fresh_path(t.spark, "api")
+    posts = star.table(t.spark, t.sf_dir, "documents").select(
+        F.col("doc_id").alias("id"),
+        F.struct("source", F.struct("lang").alias("about")).alias("origin"),
+        F.col("text").alias("body"),
+    )
+    todos = t.orders.select(
+        F.col("order_id").alias("id"),
+        F.col("customer_id").alias("userId"),
+        F.col("status").alias("title"),
+        (F.col("status") == "completed").alias("completed"),
+    )
+    endpoints = {
+        name: star.rest_pages(frame, "id", f"{folder}/{name}")
+        for name, frame in (("api_users", _users(t)), ("api_posts", posts), ("api_todos", todos))
+    }
+    nothing = star.rest_pages(posts.limit(0), "id", f"{folder}/api_comments")
+    return pipeline.api_frames(
+        t.spark,
+        "",
+        f"{folder}/copy",
+        endpoints | {"api_comments": nothing},
+        {"api_comments": posts.schema},
+    )
+
+
+def _api_load(t: Inputs) -> DataFrame:
+    """The full load with its API half; all rows of the tables it makes of that."""
+    api = _api_frames(t)
+
+    def build(layers: pipeline.Layers) -> DataFrame:
+        pipeline.run_full_load(t.spark, t.raw, api, layers=layers)
+        wanted = {
+            "api_users": ("id", "person.name", "address.home.state", "null"),
+            "api_posts": ("id", "body", "origin.about.lang", "null"),
+            "api_todos": ("id", "title", "cast(userId as string)", "completed"),
+            "api_comments": ("id", "body", "origin.source", "null"),
+        }
+        parts = [
+            t.spark.table(f"{layers.raw}.{name}").selectExpr(
+                f"'{name}' as table_name",
+                f"{key} as id",
+                f"{text} as text",
+                f"{about} as about",
+                f"cast({flag} as boolean) as flag",
+            )
+            for name, (key, text, about, flag) in wanted.items()
+        ]
+        return reduce(DataFrame.unionByName, parts)
+
+    return _in_warehouse(t, build)
+
+
+def _api_load_counts(t: Inputs) -> DataFrame:
+    api = _api_frames(t)
+
+    def build(layers: pipeline.Layers) -> DataFrame:
+        report = pipeline.run_full_load(t.spark, t.raw, api, layers=layers)
+        held = report.contents.select("table_name", "same_name_tables")
+        rows = t.spark.createDataFrame(
+            list(report.rows.items()), "table_name string, row_count long"
+        )
+        return rows.join(held, "table_name", "left")
+
+    return _in_warehouse(t, build)
+
+
 def _fresh_layers(spark: SparkSession) -> pipeline.Layers:
     """Three new schemas in the shared folder, apart from any other run's."""
     place, _, mark = fresh_path(spark, "warehouse").rpartition("-")
@@ -354,7 +445,11 @@ _CORE = {
     "csv_roundtrip": _csv_roundtrip,
     "csv_roundtrip_products": lambda t: _csv_roundtrip(t, "products"),
     "csv_roundtrip_orders": lambda t: _csv_roundtrip(t, "orders"),
+    "csv_malformed": _csv_malformed,
     "json_roundtrip": _json_roundtrip,
+    "rest_fetch": _rest_fetch,
+    "api_load": _api_load,
+    "api_load_counts": _api_load_counts,
     "incremental_load": _incremental_load,
     "full_load": _full_load,
     "load_counts": _load_counts,

@@ -479,6 +479,32 @@ def _suite(
     return f"WITH {models or _marts('core', dirty)} " + " UNION ALL ".join(parts)
 
 
+def _csv_malformed() -> str:
+    """Rows of the planted lines that fit their header, as texts."""
+
+    def changed(name: str) -> str:
+        text = f"CAST({name} AS VARCHAR)"
+        if name == "amount":
+            return f"CASE WHEN order_id % 19 = 1 THEN NULL ELSE {text} END"
+        if name == "status":
+            return f"""CASE WHEN order_id % 19 = 1 THEN NULL
+                WHEN order_id % 23 = 1 THEN ' "' || coalesce(status, '') || '", so ,'
+                WHEN order_id % 29 = 1 AND order_id // 5000 % 2 = 1
+                    THEN coalesce(status, '') || chr(10) || 'and "more"'
+                ELSE status END"""
+        return text
+
+    names = _names(_RAW_ORDER)
+    columns = ", ".join(
+        f"CAST({name} AS VARCHAR) AS {name}"
+        if place < 3
+        else f"CASE WHEN order_id % 17 <> 1 THEN {changed(name)} END AS {name}"
+        for place, name in enumerate(names)
+    )
+    return f"""WITH {_raw()} SELECT {columns} FROM raw_orders
+        WHERE order_id % 17 = 1 OR (order_id % 11 <> 1 AND order_id % 13 <> 1)"""
+
+
 _ALL_TESTS = ("unique", "not_null", "accepted_values")
 
 
@@ -571,6 +597,26 @@ def build() -> dict[str, str]:
         "FROM raw_products",
         "csv_roundtrip_orders": f"WITH {raw} SELECT {_stripped(_RAW_ORDER)} "
         "FROM raw_orders",
+        "csv_malformed": _csv_malformed(),
+        "rest_fetch": f"WITH {raw} SELECT * FROM raw_customers",
+        "api_load": f"""WITH {raw}
+            SELECT 'api_users' AS table_name, customer_id AS id, name AS text,
+                   state AS about, CAST(NULL AS BOOLEAN) AS flag FROM raw_customers
+            UNION ALL SELECT 'api_posts', doc_id, text, lang, NULL FROM documents
+            UNION ALL SELECT 'api_todos', order_id, status, CAST(customer_id AS VARCHAR),
+                   status = 'completed' FROM raw_orders""",
+        "api_load_counts": f"""WITH {raw},
+            api AS (
+                SELECT 'api_users' AS table_name, count(*) AS row_count FROM raw_customers
+                UNION ALL SELECT 'api_posts', count(*) FROM documents
+                UNION ALL SELECT 'api_todos', count(*) FROM raw_orders
+                UNION ALL SELECT 'api_comments', 0)
+            SELECT table_name, row_count, CAST(1 AS BIGINT) AS same_name_tables FROM (
+                FROM api UNION ALL """
+        + " UNION ALL ".join(
+            f"SELECT '{name}', count(*) FROM raw_{name}" for name in _MESSY
+        )
+        + ")",
         "json_roundtrip": f"WITH {raw} SELECT customer_id, name, email, city, state "
         "FROM raw_customers",
         "incremental_load": f"WITH {raw} SELECT {_columns(_RAW_ORDER)} FROM (SELECT "

@@ -3,7 +3,8 @@
 * a line with more fields than the header is skipped, a shorter one is padded
   with NULL;
 * texts such as ``NA`` or ``null`` are missing values;
-* a quoted field may contain line breaks.
+* a quoted field may contain line breaks;
+* bytes that are not UTF-8 raise, and the file is named.
 
 Everything stays in the JVM. Spark marks lines of the wrong length as corrupt;
 to tell "too long" from "too short" the line is parsed once more with an end
@@ -14,7 +15,6 @@ long one behind them.
 from __future__ import annotations
 
 import csv
-from functools import reduce
 from typing import NamedTuple
 from urllib.parse import unquote
 
@@ -25,7 +25,10 @@ from pyspark.sql import types as T
 
 from ..functions.text import blank_missing, file_headers, header_name
 from ..operators.cleaning import clean, infer_types
+from ..sinks.files import stored
 
+#: So many different first lines are no longer looked at one by one.
+_HEADERS = 100
 _CORRUPT = "_corrupt_record"
 _END_MARK = "\x01end of line\x01"
 
@@ -39,42 +42,72 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
         raise
 
 
-class _File(NamedTuple):
-    path: str
-    first: str  # the first line that is not blank
-    open: bool  # whether a field may go on behind some line
+class _Catalog(NamedTuple):
+    """What one pass over the lines of all files tells."""
 
+    headers: list[tuple[str, str]]  # a first line that is not blank, and a file that has it
+    files: int  # files that have a line at all
+    open: list[str]  # files (as Spark names them) in which a field may go on behind a line
 
-def _files(lines: DataFrame) -> list[_File]:
-    """The files behind ``lines`` that have a line at all, from one pass over them.
+
+def _catalog(lines: DataFrame, path: str) -> _Catalog:
+    """Headers, files with open quotes, and a check that all bytes are UTF-8.
 
     A field may go on where a line has an odd number of quotes; only the file that has
-    such a line can't be split.
+    such a line can't be split. What is known of each file is stored once and put together in the
+    cluster: the driver gets the different headers (two are enough to raise), and
+    the names of the files with open quotes alone, which Spark has to be told.
     """
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    found = (
+    files = stored(
         lines.select(
-            "value",
+            F.col("value"),
             F.col("_metadata.file_path").alias("file"),
             F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("at"),
             (quotes % 2 == 1).alias("open"),
+            (~F.is_valid_utf8("value")).alias("bad"),
+            (F.trim("value") == "").alias("blank"),
         )
-        .filter(F.trim("value") != "")
         .groupBy("file")
         .agg(
-            F.min_by("value", F.struct("block", "at")).alias("first"),
+            F.min_by(
+                F.when(~F.col("blank"), F.col("value")),
+                F.when(~F.col("blank"), F.struct("block", "at")),
+            ).alias("first"),
             F.bool_or("open").alias("open"),
+            F.count_if("bad").alias("bad"),
+        ),
+        "csv",
+    )
+    wrong = files.filter("bad > 0").orderBy("file").limit(1).collect()
+    if wrong:
+        raise ValueError(
+            f"{unquote(wrong[0].file)} is not UTF-8: {wrong[0].bad} lines hold other bytes"
         )
+    files = files.filter("first is not null")
+    headers = (
+        files.groupBy("first")
+        .agg(F.min("file").alias("file"), F.count("*").alias("n"))
         .orderBy("file")
+        .limit(_HEADERS)
+        .collect()
+    )
+    # Different first lines may be one header, spelled with and without quotes.
+    if len(headers) == _HEADERS:
+        raise ValueError(f"files in {path} have differing headers")
+    opened = files.filter("open").select("file").orderBy("file").collect()
+    return _Catalog(
+        [(r.first, unquote(r.file)) for r in headers],
+        sum(r.n for r in headers),
+        [r.file for r in opened],
     )
-    return [_File(unquote(r.file), r.first, r.open) for r in found.collect()]
 
 
-def _header(spark: SparkSession, files: list[_File], sep: str) -> list[str]:
+def _header(spark: SparkSession, found: _Catalog, sep: str) -> list[str]:
     """The header that all files share; differing ones raise."""
     headers = []
-    for first, path in {f.first: f.path for f in files}.items():
+    for first, path in found.headers:
         if first.count('"') % 2 == 0:
             headers.append(next(csv.reader([first], delimiter=sep)))
         else:  # the header goes on behind its first line
@@ -107,35 +140,41 @@ def read_csv(
     field may continue on the next line; all others are split. Files whose headers
     differ raise.
     """
-    files = _files(_lines(spark, path))
-    if not files:
+    found = _catalog(_lines(spark, path), path)
+    if not found.files:
         raise ValueError(f"no columns to read in {path}")
-    names = _header(spark, files, sep)
+    names = _header(spark, found, sep)
     slots = [f"c{i}" for i in range(len(names))]
     schema = T.StructType([T.StructField(s, T.StringType()) for s in slots + [_CORRUPT]])
-    parts = []
-    for whole in (True, False):
-        paths = [
-            f.path for f in files if (f.open if multi_line is None else multi_line) == whole
-        ]
-        if paths:
-            parts.append(
-                spark.read.schema(schema)
-                .options(
-                    header=True,
-                    sep=sep,
-                    quote='"',
-                    escape='"',
-                    encoding="UTF-8",
-                    mode="PERMISSIVE",
-                    columnNameOfCorruptRecord=_CORRUPT,
-                    # Pruned columns would hide lines of the wrong length.
-                    columnPruning=False,
-                    multiLine=whole,
-                )
-                .csv(paths)
+
+    def scan(whole: bool, paths: str | list[str]) -> DataFrame:
+        return (
+            spark.read.schema(schema)
+            .options(
+                header=True,
+                sep=sep,
+                quote='"',
+                escape='"',
+                encoding="UTF-8",
+                mode="PERMISSIVE",
+                columnNameOfCorruptRecord=_CORRUPT,
+                # Pruned columns would hide lines of the wrong length.
+                columnPruning=False,
+                multiLine=whole,
             )
-    rows = reduce(DataFrame.union, parts)
+            .csv(paths)
+        )
+
+    columns = slots + [_CORRUPT]
+    if multi_line is not None or len(found.open) in (0, found.files):
+        whole = bool(found.open) if multi_line is None else multi_line
+        rows = scan(whole, path).select(*columns)
+    else:
+        # Spark leaves files out by this column before it reads them.
+        split = ~F.col("_metadata.file_path").isin(found.open)
+        rows = scan(True, [unquote(f) for f in found.open]).select(*columns).union(
+            scan(False, path).filter(split).select(*columns)
+        )
     # The last term is never true; Spark refuses a scan (such as for a count) that
     # would need the corrupt-record column alone.
     fits = (

@@ -151,3 +151,83 @@ def faulty(models: dict[str, DataFrame]) -> dict[str, DataFrame]:
             df = plant(df, key, column, every, value)
         out[name] = df.union(df.filter(F.col(key) % 89 == 4))
     return out
+
+
+def rest_pages(
+    records: DataFrame, key: str, folder: str, size: int = 1000
+) -> list[str]:
+    """``records`` as the pages of a REST endpoint; returns the pages' addresses.
+
+    A page is a file that holds one JSON array, of the records whose whole-number ``key`` lies
+    in its range of ``size``; NULL fields are left out of a record. One more page is empty.
+    """
+    pages = (
+        records.select(
+            F.floor(F.col(key) / size).alias("page"),
+            F.struct(key, F.struct(*records.columns).alias("record")).alias("entry"),
+        )
+        .groupBy("page")
+        .agg(F.array_sort(F.collect_list("entry")).alias("entries"))
+        .select("page", F.to_json("entries.record").alias("value"))
+    )
+    pages.write.partitionBy("page").text(f"{folder}/full")
+    spark = records.sparkSession
+    spark.createDataFrame([("[]",)], "value string").write.text(f"{folder}/empty")
+    written = (
+        spark.read.format("binaryFile")
+        .options(recursiveFileLookup=True, pathGlobFilter="part-*")
+        .load(folder)
+        .filter("length > 0")
+        .select("path")
+        .orderBy("path")
+    )
+    return [row.path for row in written.collect()]
+
+
+def malformed_csv(orders: DataFrame, folder: str, size: int = 5000) -> None:
+    """Orders as CSV files of ``size`` keys each, with lines that break the rules planted.
+
+    By ``order_id``: % 11 = 1 has two fields too many and % 13 = 1 ends in a separator (both
+    too long), % 17 = 1 stops behind its third field, % 19 = 1 spells missing values, % 23 = 1
+    has quotes, separators and spaces in its status, and % 29 = 1 a line break, but only in every
+    other file. Files begin with the header; blank lines follow each % 31 = 1.
+    """
+    key = F.col("order_id")
+    file = F.floor(key / size).alias("file")
+
+    def shown(name: str) -> Column:
+        return F.coalesce(F.col(name).cast("string"), F.lit(""))
+
+    status = (
+        F.when(key % 19 == 1, "N/A")
+        .when(key % 23 == 1, F.concat(F.lit('" ""'), shown("status"), F.lit('"", so ,"')))
+        .when(
+            (key % 29 == 1) & (F.floor(key / size) % 2 == 1),
+            F.concat(F.lit('"'), shown("status"), F.lit('\nand ""more"""')),
+        )
+        .otherwise(shown("status"))
+    )
+    amount = F.when(key % 19 == 1, "null").otherwise(shown("amount"))
+    head = F.concat_ws(",", *(shown(n) for n in orders.columns[:3]))
+    tail = F.concat_ws(",", shown("quantity"), amount, status, shown("order_date"))
+    line = (
+        F.when(key % 17 == 1, head)
+        .when(key % 11 == 1, F.concat_ws(",", head, tail, F.lit("too,many")))
+        .when(key % 13 == 1, F.concat_ws(",", head, tail, F.lit("")))
+        .otherwise(F.concat_ws(",", head, tail))
+    )
+    line = F.when(key % 31 == 1, F.concat(line, F.lit("\n"))).otherwise(line)
+    lines = orders.select(file, key.alias("at"), line.alias("value"))
+    headers = (
+        lines.select("file").distinct().select(
+            "file", F.lit(-1).alias("at"), F.lit(",".join(orders.columns)).alias("value")
+        )
+    )
+    (
+        headers.union(lines)
+        .repartition("file")
+        .sortWithinPartitions("file", "at")
+        .select("file", "value")
+        .write.partitionBy("file")
+        .text(folder)
+    )

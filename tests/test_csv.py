@@ -183,3 +183,35 @@ def test_only_the_file_with_an_open_quote_is_unsplit(spark, tmp_path):
     assert spark_rows(df) == [("1", "x\ny"), ("2", "z"), ("3", "w")]
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Relation") == 2
+
+
+def test_other_bytes_raise_and_name_the_file(spark, tmp_path):
+    put(tmp_path, "a,b\n1,ü\n", "good.csv")
+    for k, line in enumerate((b"2,\xff\n", b"2,\xe9t\xe9\n", b"2,\xc3\n", b"2,\xed\xa0\x80\n")):
+        (tmp_path / "latin one.csv").write_bytes(b"a,b\n1,x\n" + line)
+        with pytest.raises(ValueError, match="latin one.csv is not UTF-8: 1 line"):
+            read_csv(spark, str(tmp_path))
+        with pytest.raises(UnicodeDecodeError):
+            pd.read_csv(tmp_path / "latin one.csv", dtype=str)
+
+
+def test_only_files_with_open_quotes_are_read_whole(spark, tmp_path):
+    """Each file is read once: split, or whole if a field goes on behind a line."""
+    text = "a,b\n" + "".join(f"{i},x\n" for i in range(50))
+    for name in ("one.csv", "two & 50%.csv", "drei ü.csv"):
+        put(tmp_path, text, name)
+    put(tmp_path, 'a,b\n1,"p\nq"\n2,r,s\n', "open é.csv")
+    df = read_csv(spark, str(tmp_path))
+    wanted = pandas_rows(text) * 3 + [("1", "p\nq")]
+    assert spark_rows(df) == sorted(wanted, key=repr)
+    plan = df._jdf.queryExecution()
+    plan.toRdd().count()
+    leaves = plan.executedPlan().collectLeaves()
+    read = [leaves.apply(i).metrics().apply("numFiles").value() for i in range(leaves.size())]
+    assert sorted(read) == [1, 3]
+
+
+def test_one_header_spelled_in_two_ways(spark, tmp_path):
+    put(tmp_path, "a,b\n1,2\n", "plain.csv")
+    put(tmp_path, '"a","b"\n3,4\n', "quoted.csv")
+    assert spark_rows(read_csv(spark, str(tmp_path))) == [("1", "2"), ("3", "4")]
