@@ -432,6 +432,13 @@ _CORE = {
         t.orders, t.customers, t.products
     ),
     **_model_queries(""),
+    "stg_orders_checked": lambda t: staging.model("stg_orders")
+    .checked(star.untyped(t.orders))
+    .typed,
+    "stg_orders_rejected": lambda t: staging.model("stg_orders")
+    .checked(star.untyped(t.orders))
+    .rejected.withColumn("order_key", F.get_json_object("record", "$.order_id"))
+    .drop("record"),
     **_report_queries(""),
     "dq_unique": lambda t: quality.run(t.models, tests=("unique",)),
     "dq_not_null": lambda t: quality.run(t.models, tests=("not_null",)),

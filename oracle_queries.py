@@ -597,6 +597,25 @@ def build() -> dict[str, str]:
         "FROM raw_products",
         "csv_roundtrip_orders": f"WITH {raw} SELECT {_stripped(_RAW_ORDER)} "
         "FROM raw_orders",
+        "stg_orders_checked": _from(
+            _staging("core"),
+            _STG_ORDER,
+            "stg_orders WHERE order_id % 71 <> 2 AND order_id % 83 <> 2 AND NOT "
+            "(order_id % 79 = 2 AND order_date IS NOT NULL) AND order_id % 73 <> 2",
+        ),
+        "stg_orders_rejected": f"""WITH {raw},
+            keyed AS (SELECT *, CASE WHEN order_id % 71 = 2 OR order_id % 83 = 2
+                THEN 'x' ELSE '' END || order_id AS order_key FROM raw_orders)
+            SELECT order_key, 'order_id' AS column_name, order_key AS value,
+                   'bigint' AS wanted_type FROM keyed WHERE order_key LIKE 'x%'
+            UNION ALL SELECT order_key, 'quantity', 'many', 'int' FROM keyed
+            WHERE order_id % 83 = 2
+            UNION ALL SELECT order_key, 'amount', replace(CAST(amount AS VARCHAR), '.', ','),
+                   'decimal(10,2)' FROM keyed
+            WHERE order_id % 73 = 2 AND amount IS NOT NULL
+            UNION ALL SELECT order_key, 'order_date',
+                   substr(order_date, 1, 5) || '13' || substr(order_date, 8), 'date'
+            FROM keyed WHERE order_id % 79 = 2 AND order_date IS NOT NULL""",
         "csv_malformed": _csv_malformed(),
         "rest_fetch": f"WITH {raw} SELECT * FROM raw_customers",
         "api_load": f"""WITH {raw}

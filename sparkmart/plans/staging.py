@@ -4,6 +4,9 @@ Each model is a set of named Spark SQL expressions plus row conditions. The same
 text serves as a lazy DataFrame transformation (:meth:`StagingModel.frame`) and
 as a catalog view (:meth:`StagingModel.view_sql`), so the two cannot drift apart.
 
+A value that can't be cast aborts the query. :meth:`StagingModel.checked` sets such rows
+aside instead: one pass over the raw table writes typed rows and rejected ones apart.
+
 ``variant="lite"`` keeps rows the core models drop; see the README.
 Keys are 64-bit unless ``key_type="int"`` asks for 32-bit ones, which abort the
 query past 2^31 rows.
@@ -11,11 +14,14 @@ query past 2^31 rows.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import date
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..functions.tiers import ladder_sql
 from ..schemas import (
@@ -27,10 +33,23 @@ from ..schemas import (
     STAGING,
     STOCK_STATUSES,
 )
+from ..sinks.files import stored
 
 VARIANTS = ("core", "lite")
 
 
+#: A cast of a raw column: the column and the type, which may have parameters.
+_CAST = re.compile(r"\bcast\((\w+) as (\w+(?:\([^()]*\))?)\)", re.IGNORECASE)
+
+
+class Checked(NamedTuple):
+    """Rows that were typed, and one row for each value that could not be."""
+
+    typed: DataFrame
+    #: Raw row in JSON, and column_name, value, wanted_type of what failed.
+    rejected: DataFrame
+
+
 @dataclass(frozen=True)
 class StagingModel:
     name: str
@@ -54,6 +73,75 @@ class StagingModel:
         ]
         return raw.filter(" and ".join(self.keep)).selectExpr(*wanted)
 
+    def casts(self, key_type: str = "bigint") -> dict[str, str]:
+        """The raw columns that are cast, and to what (the first cast of each counts)."""
+        found: dict[str, str] = {}
+        for text in self.columns.values():
+            for column, kind in _CAST.findall(self._bound(text, None, key_type)):
+                found.setdefault(column, kind)
+        return found
+
+    def checked(
+        self,
+        raw: DataFrame,
+        as_of: date | str | None = None,
+        key_type: str = "bigint",
+    ) -> Checked:
+        """Typed rows as of :meth:`frame`, and apart the rows in which a cast fails.
+
+        A row with a value that isn't NULL and becomes NULL by ``try_cast`` is rejected as
+        a whole, with one row for each such value; the model's conditions hold for the
+        others. Both sides are written by one pass over ``raw``, to a table in the shared
+        folder, so they belong together whatever ``raw`` does meanwhile.
+        """
+
+        def tried(text: str) -> str:
+            return _CAST.sub(r"try_cast(\1 as \2)", text)
+
+        casts = self.casts(key_type)
+        # A condition compares what a column is cast to, never its text.
+        conditions = " and ".join(
+            re.sub(
+                r"\b(\w+) (?=>)",
+                lambda m: f"try_cast({m[1]} as {casts[m[1]]}) " if m[1] in casts else m[0],
+                text,
+            )
+            for text in self.keep
+        )
+        failed = ", ".join(
+            f"if({c} is not null and try_cast({c} as {kind}) is null, "
+            f"struct('{c}' as column_name, cast({c} as string) as value, "
+            f"'{kind.lower()}' as wanted_type), null)"
+            for c, kind in casts.items()
+        )
+        typed = ", ".join(
+            f"{tried(self._bound(text, as_of, key_type))} as {name}"
+            for name, text in self.columns.items()
+        )
+        rows = raw.select(
+            F.expr(f"filter(array({failed}), f -> f is not null)").alias("failed"),
+            F.expr(f"struct({typed})").alias("typed"),
+            F.to_json(F.struct(*(f"`{c}`" for c in raw.columns))).alias("record"),
+            F.expr(f"coalesce({conditions}, false)").alias("wanted"),
+        )
+        side = (
+            F.when(F.size("failed") > 0, "rejected").when(F.col("wanted"), "typed").alias("side")
+        )
+        both = stored(
+            rows.select(
+                side,
+                F.when(side == "typed", F.col("typed")).alias("typed"),
+                F.when(side == "rejected", F.col("failed")).alias("failed"),
+                F.when(side == "rejected", F.col("record")).alias("record"),
+            ).filter("side is not null"),
+            "checked",
+            partition_by=("side",),
+        )
+        return Checked(
+            both.filter("side = 'typed'").select("typed.*"),
+            both.filter("side = 'rejected'").select("record", F.inline("failed")),
+        )
+
     def view_sql(
         self,
         raw_schema: str = RAW,

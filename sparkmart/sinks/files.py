@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,12 +36,14 @@ def write_csv(df: DataFrame, folder: str, sep: str = ",") -> None:
     )
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write a frame to the shared folder and read it back.
 
     Cuts the lineage in a way that outlives executors, and unlike a checkpoint
     leaves columns that can be read one by one.
     """
     path = fresh_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
+    if partition_by:
+        return df.sparkSession.read.schema(df.schema).parquet(path)
     return df.sparkSession.read.parquet(path)

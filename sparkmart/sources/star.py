@@ -153,6 +153,31 @@ def faulty(models: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return out
 
 
+def untyped(orders: DataFrame) -> DataFrame:
+    """Orders as texts, some of which no cast takes; by ``order_id``.
+
+    % 71 = 2 has a letter before its id, % 73 = 2 a decimal comma in its amount, % 79 = 2 a
+    13th month, % 83 = 2 a quantity in words and an id as for % 71, % 89 = 2 blanks around its
+    amount, which casts take.
+    """
+    key = F.col("order_id")
+    texts = {f.name: F.col(f.name).cast("string") for f in orders.schema}
+    amount, day = texts["amount"], F.col("order_date")
+    texts["order_id"] = F.when(
+        (key % 71 == 2) | (key % 83 == 2), F.concat(F.lit("x"), key)
+    ).otherwise(texts["order_id"])
+    texts["amount"] = (
+        F.when(key % 73 == 2, F.replace(amount, F.lit("."), F.lit(",")))
+        .when(key % 89 == 2, F.concat(F.lit(" "), amount, F.lit(" ")))
+        .otherwise(amount)
+    )
+    texts["order_date"] = F.when(
+        key % 79 == 2, F.concat(F.substring(day, 1, 5), F.lit("13"), F.substring(day, 8, 3))
+    ).otherwise(day)
+    texts["quantity"] = F.when(key % 83 == 2, "many").otherwise(texts["quantity"])
+    return orders.select(*(text.alias(name) for name, text in texts.items()))
+
+
 def rest_pages(
     records: DataFrame, key: str, folder: str, size: int = 1000
 ) -> list[str]:

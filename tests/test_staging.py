@@ -5,6 +5,7 @@ from decimal import Decimal
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkmart.plans import staging
@@ -168,3 +169,79 @@ def test_stock_status(spark):
 def test_unknown_variant(spark):
     with pytest.raises(ValueError):
         staging.model("stg_orders", "other")
+
+
+ORDERS_AS_TEXT = (
+    "order_id string, customer_id string, product_id string, quantity string, "
+    "amount string, status string, order_date string, note string"
+)
+
+
+def test_rows_that_cannot_be_cast_are_set_aside(spark):
+    good = ("1", "2", "3", "4", " 9.50 ", " Completed ", "2001-02-03", "n")
+    rows = [
+        good,
+        ("2", None, "3", "4", "9.50", "pending", "2001-02-03", None),  # no customer
+        ("3", "2", "3", "4", "0", "pending", "2001-02-03", None),  # amount not above 0
+        ("x4", "2", "3", "many", "9.50", "pending", "2001-02-03", "bad"),
+        ("5", None, "3", "4", "9,50", "pending", "2001-13-03", None),
+        ("6", "2", "", "4", "123456789.00", None, None, None),
+        ("7", "2", None, None, "1", None, None, None),  # NULLs are no failed casts
+    ]
+    raw = spark.createDataFrame(rows, ORDERS_AS_TEXT)
+    typed, rejected = staging.model("stg_orders").checked(raw)
+    kept = raw.filter("order_id in ('1', '7')").withColumn(
+        "amount", F.col("amount").cast("decimal(10,2)")
+    )
+    assert sorted(map(repr, typed.collect())) == sorted(
+        map(repr, staging.stg_orders(kept).collect())
+    )
+    assert typed.schema.simpleString() == staging.stg_orders(raw).schema.simpleString()
+    found = rejected.selectExpr(
+        "get_json_object(record, '$.order_id') as id", "column_name", "value", "wanted_type"
+    )
+    assert sorted(map(tuple, found.collect())) == [
+        ("5", "amount", "9,50", "decimal(10,2)"),
+        ("5", "order_date", "2001-13-03", "date"),
+        ("6", "amount", "123456789.00", "decimal(10,2)"),
+        ("6", "product_id", "", "bigint"),
+        ("x4", "order_id", "x4", "bigint"),
+        ("x4", "quantity", "many", "int"),
+    ]
+    assert rejected.filter("record like '%\"note\":\"bad\"%'").count() == 2
+
+
+def test_checked_equals_plain_models_on_clean_rows(spark, tmp_path):
+    """All models and variants, over raw tables without a failing value."""
+    raw = {
+        "stg_orders": [(1, 2, 3, 4, 9.5, "completed", "2001-02-03")],
+        "stg_customers": [(1, " Ann ", "A@X", "c", "s", "2001-02-03"), (2, None, "b", "c", "s", None)],
+        "stg_products": [(1, "p", "c", 50.0, 0), (2, "q", None, 0.0, 5), (3, "r", "c", None, None)],
+    }
+    schemas = {
+        "stg_orders": "order_id long, customer_id long, product_id long, quantity long, "
+        "amount double, status string, order_date string",
+        "stg_customers": "customer_id long, name string, email string, city string, "
+        "state string, created_at string",
+        "stg_products": "product_id long, name string, category string, price double, stock long",
+    }
+    for variant in staging.VARIANTS:
+        for name, rows in raw.items():
+            frame = spark.createDataFrame(rows, schemas[name])
+            model = staging.model(name, variant)
+            typed, rejected = model.checked(frame, as_of="2002-01-01")
+            wanted = model.frame(frame, as_of="2002-01-01")
+            assert sorted(map(repr, typed.collect())) == sorted(map(repr, wanted.collect()))
+            assert rejected.isEmpty()
+
+
+def test_typed_and_rejected_rows_come_from_one_pass(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    spark.createDataFrame(
+        [("1", "2", "3", "4", "5", "s", "2001-01-01", None), ("x", "2", "3", "4", "5", "s", None, None)],
+        ORDERS_AS_TEXT,
+    ).write.parquet(path)
+    typed, rejected = staging.model("stg_orders").checked(spark.read.parquet(path))
+    for file in (tmp_path / "raw").iterdir():
+        file.unlink()
+    assert typed.count() == 1 and rejected.count() == 1
