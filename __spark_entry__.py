@@ -24,9 +24,9 @@ import oracle_queries  # noqa: E402
 from oracle_queries import AS_OF, INCREMENTAL_SINCE, RECENT_AS_OF  # noqa: E402
 from sparkmart import schemas  # noqa: E402
 from sparkmart.operators import cleaning, incremental, profiling, quality  # noqa: E402
-from sparkmart.plans import marts, pipeline, reports, staging  # noqa: E402
+from sparkmart.plans import marts, monthly, pipeline, reports, staging  # noqa: E402
 from sparkmart.session import fresh_path  # noqa: E402
-from sparkmart.sinks import files, tables  # noqa: E402
+from sparkmart.sinks import files, ledger, tables  # noqa: E402
 from sparkmart.sources import delimited, rest, star  # noqa: E402
 
 
@@ -345,6 +345,53 @@ def _incremental_load(t: Inputs) -> DataFrame:
     return _in_warehouse(t, build)
 
 
+def _append_twice(t: Inputs) -> DataFrame:
+    """Batches through the ledger, one of them twice, and one that died before its line."""
+    key = F.when(F.col("order_id") % 1021 != 4, F.col("order_id"))
+    orders = t.orders.withColumn("order_id", key)
+
+    def build(layers: pipeline.Layers) -> DataFrame:
+        target = f"{layers.raw}.orders"
+
+        def load(batch: str, rows: DataFrame) -> None:
+            ledger.append_batch(rows, target, batch, "order_date")
+
+        load("past", orders.filter(F.col("order_date") <= INCREMENTAL_SINCE))
+        died = ledger.due(orders, target, "order_date", "order_id")
+        died.withColumn(ledger.BATCH, F.lit("died")).write.insertInto(target)
+        for batch in ("recent", "recent", "after"):
+            load(batch, ledger.due(orders, target, "order_date", "order_id"))
+        return ledger.rows(t.spark, target)
+
+    return _in_warehouse(t, build)
+
+
+def _mart_sales_monthly(t: Inputs) -> DataFrame:
+    """The sales mart after two increments, each of which rewrites the months it touches."""
+    day = F.col("order_date")
+    middle = "2001-04-15"
+    steps = (
+        day < middle,
+        (day >= middle) & (day < INCREMENTAL_SINCE),
+        (day >= INCREMENTAL_SINCE) | day.isNull(),
+    )
+
+    def build(layers: pipeline.Layers) -> DataFrame:
+        raw = f"{layers.raw}.orders"
+        tables.load_table(t.customers, f"{layers.raw}.customers")
+        tables.load_table(t.products, f"{layers.raw}.products")
+        for k, step in enumerate(steps):
+            new = t.orders.filter(step)
+            tables.load_table(new, raw, "append" if k else "replace")
+            if not k:
+                pipeline.build_staging(t.spark, layers, as_of=AS_OF)
+            months = monthly.months_of(staging.stg_orders(new)) if k else None
+            monthly.refresh(t.spark, layers.staging, layers.marts, months)
+        return monthly.mart_sales(t.spark, layers.marts)
+
+    return _in_warehouse(t, build)
+
+
 def _full_load(t: Inputs) -> DataFrame:
     return _in_warehouse(
         t, lambda layers: pipeline.run_full_load(t.spark, t.raw, layers=layers).summary
@@ -458,6 +505,8 @@ _CORE = {
     "api_load": _api_load,
     "api_load_counts": _api_load_counts,
     "incremental_load": _incremental_load,
+    "append_twice": _append_twice,
+    "mart_sales_monthly": _mart_sales_monthly,
     "full_load": _full_load,
     "load_counts": _load_counts,
     "warehouse_listing": _warehouse_listing,

@@ -657,6 +657,7 @@ def build() -> dict[str, str]:
                 marts, _CUSTOMERS_CORE if core else _CUSTOMERS, "mart_customers"
             ),
         } | _reports(variant)
-    sql["warehouse_models"] = sql["mart_sales"]
+    sql["warehouse_models"] = sql["mart_sales_monthly"] = sql["mart_sales"]
+    sql["append_twice"] = sql["incremental_load"]
     sql["full_load"] = sql["raw_category_summary"]
     return sql

@@ -26,20 +26,29 @@ def last_days(
 
 
 def not_loaded(
-    incoming: DataFrame, target: DataFrame, date_column: str, key: str
+    incoming: DataFrame,
+    target: DataFrame,
+    date_column: str,
+    key: str,
+    newest: date | str | None = None,
 ) -> DataFrame:
     """Incoming rows on or after the target's newest date that it lacks.
 
     The lower bound is inclusive, so rows of the newest loaded day come again; they
     are told apart by key and date, as only that day of the target has to be read
     for. Rows without a date are always due, and known by their key in the same way.
-    NULL equals NULL in both, so loading twice adds nothing.
+    NULL equals NULL in both, so loading twice adds nothing. ``newest`` spares the look
+    at all dates of the target, where a ledger has it.
     """
-    newest = target.agg(F.max(date_column)).scalar()
-    date = F.col(date_column)
-    due = incoming.filter((date >= newest) | newest.isNull() | date.isNull())
-    held = target.filter((date == newest) | date.isNull()).select(
-        F.col(key).alias("_key"), date.alias("_date")
+    last = F.lit(str(newest)) if newest is not None else target.agg(F.max(date_column)).scalar()
+    day = F.col(date_column)
+    due = incoming.filter((day >= last) | last.isNull() | day.isNull())
+    # Names that no column of the incoming rows has.
+    own_key, own_day = (f"{prefix}{''.join(incoming.columns)}" for prefix in ("key ", "day "))
+    held = target.filter((day == last) | day.isNull()).select(
+        F.col(key).alias(own_key), day.alias(own_day)
+    )
+    same = F.col(key).eqNullSafe(F.col(f"`{own_key}`")) & day.eqNullSafe(
+        F.col(f"`{own_day}`")
     )
-    same = F.col(key).eqNullSafe(F.col("_key")) & date.eqNullSafe(F.col("_date"))
     return due.join(held, same, "left_anti")

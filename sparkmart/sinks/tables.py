@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections import Counter
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
-from .files import stored
-
 MODES = ("replace", "append")
+#: Endings of the names that a table's versions have while it is replaced, and what marks
+#: the folder of a version.
+_NEW, _OLD, _VERSION = "__new_", "__old", "__version_"
 
 
 def _quoted(name: str) -> str:
@@ -32,30 +33,82 @@ def drop_schemas(spark: SparkSession, schemas: Sequence[str]) -> None:
         spark.sql(f"drop schema if exists {_quoted(schema)} cascade")
 
 
+def _parts(spark: SparkSession, table: str) -> tuple[str, str]:
+    schema, _, name = table.replace("`", "").rpartition(".")
+    return schema or spark.catalog.currentDatabase(), name
+
+
+def _full(schema: str, name: str) -> str:
+    return f"{_quoted(schema)}.{_quoted(name)}"
+
+
+def _rename(spark: SparkSession, schema: str, name: str, new: str) -> None:
+    spark.sql(f"alter table {_full(schema, name)} rename to {_full(schema, new)}")
+
+
+def _drop_version(spark: SparkSession, schema: str, name: str) -> None:
+    """Drop a version of a table with its files, which the catalog leaves alone."""
+    told = spark.sql(f"describe extended {_full(schema, name)}").collect()
+    place = next(r.data_type for r in told if r.col_name == "Location")
+    spark.sql(f"drop table {_full(schema, name)}")
+    if _VERSION in place:
+        path = spark._jvm.org.apache.hadoop.fs.Path(place)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def recover_table(spark: SparkSession, table: str) -> None:
+    """Undo what a replacement that was cut off has left: the last whole version counts."""
+    schema, name = _parts(spark, table)
+    if not spark.catalog.databaseExists(schema):
+        return
+    left = [
+        entry.name
+        for entry in spark.catalog.listTables(schema, f"{name}__*")
+        if entry.name == name + _OLD or entry.name.startswith(name + _NEW)
+    ]
+    if name + _OLD in left and not spark.catalog.tableExists(_full(schema, name)):
+        _rename(spark, schema, name + _OLD, name)
+        left.remove(name + _OLD)
+    for version in left:
+        _drop_version(spark, schema, version)
+
+
 def replace_table(
-    df: DataFrame, table: str, partition_by: Sequence[str] = ()
+    df: DataFrame, table: str, partition_by: Sequence[str] = (), **options: str
 ) -> None:
     """Replace a table by the rows of ``df``, which may read that table.
 
-    Spark refuses to overwrite a table that the plan reads; in that case the rows
-    are first written to the shared folder. With ``partition_by`` rows of a
-    partition are brought together before the write; a partition too large for
-    one task is split again.
-    """
-    ready = df.hint("rebalance", *partition_by) if partition_by else df
-
-    def write(rows: DataFrame) -> None:
-        writer = rows.write.format("parquet").mode("overwrite")
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.saveAsTable(table)
+    The rows are written beside the table, to a folder of their own; only then do names
+    change, which moves no data: the table becomes the old version, the new one the table.
+    Until then readers see the old rows, and so they do for good if the write fails. A
+    driver that dies between the two changes of name leaves the old version, which
+    :func:`recover_table` (called here first) puts back. One table has one writer at a time.
 
+    With ``partition_by`` rows of a partition are brought together before the write; a
+    partition too large for one task is split again. ``options`` stay with the table.
+    """
+    spark = df.sparkSession
+    schema, name = _parts(spark, table)
+    recover_table(spark, table)
+    mark = uuid.uuid4().hex
+    new = f"{name}{_NEW}{mark}"
+    home = spark.catalog.getDatabase(schema).locationUri.rstrip("/")
+    rows = df.hint("rebalance", *partition_by) if partition_by else df
+    place = f"{home}/{name}{_VERSION}{mark}"
+    writer = rows.write.format("parquet").options(path=place, **options)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
     try:
-        write(ready)
-    except AnalysisException as error:
-        if not (error.getCondition() or "").startswith("UNSUPPORTED_OVERWRITE"):
-            raise
-        write(stored(ready, "replace"))
+        writer.saveAsTable(_full(schema, new))
+        held = spark.catalog.tableExists(_full(schema, name))
+        if held:
+            _rename(spark, schema, name, name + _OLD)
+        _rename(spark, schema, new, name)
+    except Exception:
+        recover_table(spark, table)
+        raise
+    if held:
+        _drop_version(spark, schema, name + _OLD)
 
 
 def append_table(df: DataFrame, table: str) -> None:

@@ -1,14 +1,16 @@
 from __future__ import annotations
 
+import os
 import uuid
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from sparkmart.operators import incremental
-from sparkmart.plans import pipeline
+from sparkmart.plans import monthly, pipeline, staging
 from sparkmart.session import fresh_path
-from sparkmart.sinks import tables
+from sparkmart.sinks import ledger, tables
 
 from . import frames as f
 
@@ -192,3 +194,127 @@ def test_not_loaded_keeps_rows_without_date_or_key_once(spark):
     assert {tuple(r) for r in due.collect()} == want
     again = incremental.not_loaded(source, held.union(due), "order_date", "order_id")
     assert again.count() == 0
+
+
+def _boom(spark, rows):
+    """Rows of which one fails while they are written."""
+    return rows.withColumn(
+        "id", F.when(F.col("id") == 7, F.raise_error(F.lit("lost"))).otherwise(F.col("id"))
+    )
+
+
+@pytest.mark.parametrize("partition_by", [(), ("p",)])
+def test_a_failed_replacement_leaves_the_old_rows(spark, layers, partition_by):
+    table = f"{layers.raw}.t"
+    rows = spark.range(10).withColumn("p", F.when(F.col("id") < 9, F.col("id") % 2))
+    tables.replace_table(rows, table, partition_by)
+    before = sorted(map(tuple, spark.table(table).collect()), key=repr)
+    with pytest.raises(PySparkException):
+        tables.replace_table(_boom(spark, rows), table, partition_by)
+    assert sorted(map(tuple, spark.table(table).collect()), key=repr) == before
+    assert [t.name for t in spark.catalog.listTables(layers.raw)] == ["t"]
+    tables.replace_table(spark.table(table).filter("id > 5"), table, partition_by)
+    assert spark.table(table).count() == 4
+    assert spark.table(table).filter("p = 1").count() == 1
+
+
+def test_a_replacement_that_died_between_names_is_put_back(spark, layers, monkeypatch):
+    table = f"{layers.raw}.t"
+    tables.replace_table(spark.range(3), table)
+    renamed, rename = [], tables._rename
+
+    def dies(*names):
+        if renamed:
+            raise KeyboardInterrupt  # no Exception: nothing is tidied up
+        renamed.append(names)
+        rename(*names)
+
+    monkeypatch.setattr(tables, "_rename", dies)
+    with pytest.raises(KeyboardInterrupt):
+        tables.replace_table(spark.range(5), table)
+    monkeypatch.undo()
+    assert not spark.catalog.tableExists(table)
+    tables.recover_table(spark, table)
+    assert spark.table(table).count() == 3
+    tables.replace_table(spark.range(5), table)
+    assert spark.table(table).count() == 5
+    assert [t.name for t in spark.catalog.listTables(layers.raw)] == ["t"]
+    # One version's files are left.
+    home = spark.catalog.getDatabase(layers.raw).locationUri.removeprefix("file:")
+    assert len([d for d in os.listdir(home) if d.startswith("t__version_")]) == 1
+
+
+def _day(spark, *rows):
+    return spark.createDataFrame(rows, "id long, day string")
+
+
+def test_batches_are_loaded_once(spark, layers, monkeypatch):
+    table = f"{layers.raw}.t"
+    first = _day(spark, (1, "2001-01-01"), (2, "2001-01-02"), (3, None))
+    assert ledger.append_batch(first, table, "a", "day") == 3
+    assert ledger.append_batch(first, table, "a", "day") == 3
+    assert ledger.rows(spark, table).count() == 3
+    assert ledger.newest(spark, table) == "2001-01-02"
+    incoming = first.union(_day(spark, (4, "2001-01-02"), (5, "2001-01-05"), (6, None)))
+    due = ledger.due(incoming, table, "day", "id")
+    assert sorted(r.id for r in due.collect()) == [4, 5, 6]
+    # Dies while rows are written: nothing counts.
+    with pytest.raises(PySparkException):
+        ledger.append_batch(_boom(spark, _day(spark, (7, "2001-02-01"))), table, "b", "day")
+    assert ledger.newest(spark, table) == "2001-01-02"
+    # Dies between rows and line: the rows don't count, and the next load drops them.
+    monkeypatch.setattr(ledger.F, "current_timestamp", lambda: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        ledger.append_batch(due, table, "c", "day")
+    monkeypatch.undo()
+    assert spark.table(table).count() == 6
+    assert ledger.rows(spark, table).count() == 3
+    due = ledger.due(incoming, table, "day", "id")
+    assert ledger.append_batch(due, table, "d", "day") == 3
+    assert sorted(r.id for r in spark.table(table).collect()) == [1, 2, 3, 4, 5, 6]
+    lines = ledger.batches(spark, table).drop("loaded_at").collect()
+    assert sorted(map(tuple, lines)) == [("a", 3, "2001-01-02"), ("d", 3, "2001-01-05")]
+    assert ledger.due(incoming, table, "day", "id").isEmpty()
+
+
+def test_not_loaded_with_any_column_names(spark):
+    names = "_key long, _date string, key long"
+    incoming = spark.createDataFrame([(1, "2001-01-02", 5), (2, "2001-01-02", 6)], names)
+    target = spark.createDataFrame([(1, "2001-01-02", 5)], names)
+    due = incremental.not_loaded(incoming, target, "_date", "_key")
+    assert [tuple(r) for r in due.collect()] == [(2, "2001-01-02", 6)]
+
+
+def test_only_touched_months_are_rewritten(spark, layers, shop):
+    pipeline.load_raw(spark, shop, layers)
+    pipeline.build_staging(spark, layers, as_of="2001-12-31")
+    monthly.refresh(spark, layers.staging, layers.marts)
+
+    def files():
+        found = spark.table(f"{layers.marts}.{monthly.LINES}")
+        paths = found.select("order_year", "order_month", "_metadata.file_path").distinct()
+        return {(r[0], r[1]): r[2] for r in paths.collect()}
+
+    before = files()
+    new = f.orders(
+        spark,
+        f.order(4, amount=70.0, day="2001-06-11"),
+        f.order(5, amount=30.0, day=None),
+        f.order(6, amount=5.0, day="2001-09-01", customer_id=9),
+    )
+    tables.load_table(new, f"{layers.raw}.orders", "append")
+    months = monthly.months_of(staging.stg_orders(new))
+    assert sorted(months, key=repr) == [(2001, 6), (2001, 9), (None, None)]
+    monthly.refresh(spark, layers.staging, layers.marts, months)
+    after = files()
+    same = {month for month in before if before[month] == after[month]}
+    assert same == set(before) - {(2001, 6)} and set(after) > set(before)
+    pipeline.build_marts(spark, layers)
+    whole = spark.table(f"{layers.marts}.mart_sales")
+    kept = monthly.mart_sales(spark, layers.marts).select(*whole.columns)
+    assert sorted(map(repr, kept.collect())) == sorted(map(repr, whole.collect()))
+    # Again: nothing changes.
+    monthly.refresh(spark, layers.staging, layers.marts, months)
+    assert sorted(map(repr, monthly.mart_sales(spark, layers.marts).select(*whole.columns).collect())) == sorted(
+        map(repr, whole.collect())
+    )
