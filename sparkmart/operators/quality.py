@@ -87,25 +87,6 @@ def failing_rows(df: DataFrame, check: Check) -> DataFrame:
     raise ValueError(f"unknown test {check.test!r}")
 
 
-def _repeated(df: DataFrame, check: Check) -> DataFrame:
-    """How many values fail ``unique``, or lie outside an accepted list.
-
-    Values keep their type and are counted before the shuffle, so one that fills a
-    third of the table costs one row per task; of a clean column with an accepted
-    list nothing is shuffled at all.
-    """
-    column = F.col(check.column)
-    keep = column.isNotNull() if check.test == "unique" else _outside(check)
-    counts = (
-        df.filter(keep).groupBy(column.alias("value")).agg(F.count("*").alias("n_records"))
-    )
-    if check.test == "unique":
-        counts = counts.filter("n_records > 1")
-    return counts.agg(F.count("*").alias("failures")).select(
-        *_name(check), F.col("failures")
-    )
-
-
 def _name(check: Check) -> list[Column]:
     return [
         F.lit(check.model).alias("model"),
@@ -114,17 +95,61 @@ def _name(check: Check) -> list[Column]:
     ]
 
 
-def _missing(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """All ``not_null`` tests of one model: one row per task is shuffled."""
-    counts = df.agg(*(F.count_if(F.col(c.column).isNull()).alias(c.column) for c in checks))
-    rows = (F.struct(*_name(c), F.col(c.column).alias("failures")) for c in checks)
-    return counts.select(F.inline(F.array(*rows)))
-
+def _run_model(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """All tests of one model, from one evaluation of the columns they look at.
 
-def _run_model(df: DataFrame, checks: Sequence[Check]) -> list[DataFrame]:
+    A row is handed on once for each ``unique`` test, and once for each value outside its list;
+    values keep their types. What is handed on is counted per value in each task before it is
+    shuffled, so a value that fills a third of the table costs one row per task. Rows with
+    NULL are summed along with the first test.
+    """
+    valued = [c for c in checks if c.test != "not_null"]
     missing = [c for c in checks if c.test == "not_null"]
-    parts = [_repeated(df, c) for c in checks if c.test != "not_null"]
-    return parts + ([_missing(df, missing)] if missing else [])
+    unique = [c for c in valued if c.test == "unique"]
+    listed = [c for c in valued if c.test == "accepted_values"]
+
+    def entry(check: Check | None) -> Column:
+        """The place of the test, and the value in a column of its own."""
+        values = (
+            F.when(F.lit(c == check), F.col(c.column)).alias(f"value {k}")
+            for k, c in enumerate(valued)
+        )
+        place = valued.index(check) if check else -1
+        return F.struct(F.lit(place).alias("place"), *values)
+
+    # Without a test that takes every row, all rows count as one group.
+    every = [entry(c) for c in unique] or [entry(None)]
+    first = valued.index(unique[0]) if unique else -1
+    handed = F.array(*every)
+    if listed:
+        outside = (F.when(_outside(c), entry(c)) for c in listed)
+        some = reduce(Column.__or__, map(_outside, listed))
+        handed = F.when(some, F.array_compact(F.array(*every, *outside))).otherwise(handed)
+    nulls = [
+        F.col(c.column).isNull().cast("long").alias(f"null {k}")
+        for k, c in enumerate(missing)
+    ]
+    counts = (
+        df.select(*nulls, F.inline(handed))
+        .groupBy("place", *(f"value {k}" for k in range(len(valued))))
+        .agg(F.count("*").alias("n"), *(F.sum(f"null {k}").alias(f"null {k}") for k in range(len(missing))))
+    )
+
+    def failures(check: Check) -> Column:
+        if check.test == "not_null":
+            own = F.when(F.col("place") == first, F.col(f"null {missing.index(check)}"))
+            return F.coalesce(F.sum(own), F.lit(0))
+        place = valued.index(check)
+        value = F.col(f"value {place}")
+        own = (F.col("place") == place) & value.isNotNull()
+        return F.count_if(own & (F.col("n") > 1) if check.test == "unique" else own)
+
+    found = counts.agg(*(failures(c).alias(f"failures {k}") for k, c in enumerate(checks)))
+    rows = (
+        F.struct(*_name(c), F.col(f"failures {k}").alias("failures"))
+        for k, c in enumerate(checks)
+    )
+    return found.select(F.inline(F.array(*rows)))
 
 
 def run(
@@ -135,11 +160,8 @@ def run(
     """One row per test: model, column_name, test, failures, passed."""
     chosen = [check for check in checks if check.test in tests]
     reports = [
-        part
+        _run_model(models[name], [check for check in chosen if check.model == name])
         for name in dict.fromkeys(check.model for check in chosen)
-        for part in _run_model(
-            models[name], [check for check in chosen if check.model == name]
-        )
     ]
     return reduce(DataFrame.unionByName, reports).withColumn(
         "passed", F.col("failures") == 0

@@ -61,32 +61,28 @@ def sales_lines(
     )
 
 
-def _counted(
-    orders: DataFrame, customers: DataFrame, products: DataFrame
-) -> tuple[DataFrame, str | None]:
-    """Category, amount and revenue of the sales lines, and the column of their number.
+def _counted(orders: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
+    """Category, amount and revenue of the sales lines, and how many ``copies`` each stands for.
 
     Customers matter only where an id occurs more than once, as each such row repeats
-    its orders. Ids are unique as a rule; this is looked up first, and orders are then
-    not joined with customers at all.
+    its orders. Ids are unique as a rule, so the right side is empty, which is seen when the
+    plan runs, and the join is left out then.
     """
-    lines = orders.join(
-        products.select("product_id", "category"), "product_id", "left"
-    ).select("customer_id", "category", "amount", "completed_revenue")
     repeated = (
         customers.filter(F.col("customer_id").isNotNull())
         .groupBy("customer_id")
         .agg(F.count(F.lit(1)).alias("copies"))
         .filter("copies > 1")
     )
-    if repeated.isEmpty():
-        return lines, None
-    copies = F.coalesce("copies", F.lit(1)).alias("copies")
     return (
-        lines.join(repeated, "customer_id", "left").select(
-            "category", "amount", "completed_revenue", copies
-        ),
-        "copies",
+        orders.join(repeated, "customer_id", "left")
+        .join(products.select("product_id", "category"), "product_id", "left")
+        .select(
+            "category",
+            "amount",
+            "completed_revenue",
+            F.coalesce("copies", F.lit(1)).alias("copies"),
+        )
     )
 
 
@@ -100,7 +96,6 @@ def mart_sales(
     lines = sales_lines(orders, customers, products, variant)
     if variant == "lite":
         return lines
-    counted, weight = _counted(orders, customers, products)
     return total_and_rank(
         lines,
         group="category",
@@ -108,8 +103,8 @@ def mart_sales(
         measure="completed_revenue",
         total="category_total_revenue",
         rank="rank_in_category",
-        counted=counted,
-        weight=weight,
+        counted=_counted(orders, customers, products),
+        weight="copies",
     )
 
 

@@ -56,3 +56,44 @@ def test_clean_and_empty_frames_pass(spark):
 def test_unknown_test_raises(spark):
     with pytest.raises(ValueError):
         quality.failing_rows(spark.range(1), Check("m", "id", "other"))
+
+
+def test_a_model_is_evaluated_once(spark, tmp_path):
+    """All tests of a model come from one scan, of the tested columns only."""
+    path = str(tmp_path / "m")
+    spark.createDataFrame([(1, "a", "p"), (2, "b", "q")], "k int, v string, w string").write.parquet(path)
+    checks = (
+        Check("m", "k", "unique"),
+        Check("m", "k", "not_null"),
+        Check("m", "v", "unique"),
+        Check("m", "v", "accepted_values", ("a",)),
+    )
+    report = quality.run({"m": spark.read.parquet(path)}, checks)
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+    assert "ReadSchema: struct<k:int,v:string>" in plan
+    assert sorted(tuple(r)[1:4] for r in report.collect()) == [
+        ("k", "not_null", 0),
+        ("k", "unique", 0),
+        ("v", "accepted_values", 1),
+        ("v", "unique", 0),
+    ]
+
+
+def test_no_job_runs_while_the_sales_mart_is_planned(spark, tmp_path):
+    from sparkmart.plans import marts, staging
+
+    from . import frames as f
+
+    staged = (
+        staging.stg_orders(f.orders(spark, f.order(1))),
+        staging.stg_customers(f.customers(spark, f.customer(1))),
+        staging.stg_products(f.products(spark, f.product(1))),
+    )
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning", "planning")
+    try:
+        marts.mart_sales(*staged)
+        assert not tracker.getJobIdsForGroup("planning")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
