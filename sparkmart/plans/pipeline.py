@@ -85,14 +85,20 @@ def db_frames(
     properties: Mapping[str, str] | None = None,
     names: Sequence[str] = DB_TABLES,
     partitions: int = jdbc.PARTITIONS,
+    even: bool = False,
 ) -> dict[str, DataFrame]:
-    """The shop tables of a JDBC database, each read in ranges of its key."""
-    return {
-        name: jdbc.read_table(
-            spark, url, name, properties, f"{name.removesuffix('s')}_id", partitions
-        )
-        for name in names
-    }
+    """The shop tables of a JDBC database, each read in ranges of its key.
+
+    ``even`` counts rows first, for keys with gaps or clusters.
+    """
+    frames = {}
+    for name in names:
+        key = f"{name.removesuffix('s')}_id"
+        if even:
+            frames[name] = jdbc.read_evenly(spark, url, name, key, properties, partitions)
+        else:
+            frames[name] = jdbc.read_table(spark, url, name, properties, key, partitions)
+    return frames
 
 
 def build_staging(

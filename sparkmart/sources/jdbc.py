@@ -17,6 +17,8 @@ from ..sinks.files import stored
 #: Ranges that a table is read in, and rows fetched by one round trip.
 PARTITIONS = 16
 FETCH_SIZE = 10_000
+#: Slots of keys that rows are counted in to find even ranges.
+SLOTS = 1024
 
 
 def split_options(
@@ -78,6 +80,107 @@ def read_table(
     return spark.read.format("jdbc").options(**options).load()
 
 
+def _histogram_sql(table: str, column: str, low: int, high: int, width: int) -> str:
+    """Rows by the first key of each slot of ``width`` keys, of those from low to high."""
+    slot = f"{column} - (({column} - {low}) % {width})"
+    return (
+        f"select {slot} as slot, count(*) as n from {table} "
+        f"where {column} >= {low} and {column} <= {high} group by {slot}"
+    )
+
+
+def _histogram(
+    spark: SparkSession,
+    url: str,
+    table: str,
+    column: str,
+    properties: Mapping[str, str] | None,
+    partitions: int,
+) -> list[tuple[int, int, int]]:
+    """(first key, last key, rows) of slots that cover all whole-number keys, in order.
+
+    Slots with more rows than a partition should have are counted again in narrower ones, until
+    they are small or hold one key; at most ``partitions`` slots can be so large at once.
+    """
+
+    def rows_of(sql: str) -> list:
+        return read_query(spark, url, sql, properties).collect()
+
+    lowest, highest = rows_of(
+        f"select min({column}) as lo, max({column}) as hi from {table}"
+    )[0]
+    if lowest is None:
+        return []
+    due, done, most = [(int(lowest), int(highest))], [], None
+    while due:
+        large = []
+        for low, high in due:
+            width = max(1, -(-(high - low + 1) // SLOTS))
+            found = rows_of(_histogram_sql(table, column, low, high, width))
+            slots = sorted((int(r[0]), int(r[1])) for r in found)
+            if most is None:
+                most = max(1, sum(n for _, n in slots) // partitions)
+            for start, n in slots:
+                end = min(start + width - 1, high)
+                if n > most and width > 1:
+                    large.append((start, end))
+                else:
+                    done.append((start, end, n))
+        due = large
+    return sorted(done)
+
+
+def even_ranges(slots: list[tuple[int, int, int]], partitions: int) -> list[tuple[int, int]]:
+    """Neighbouring slots put together to at most ``partitions`` ranges of about equal rows."""
+    total, taken, ranges = sum(n for _, _, n in slots), 0, []
+    for low, high, n in slots:
+        share = taken * partitions // total if total else 0
+        if ranges and ranges[-1][2] == share:
+            ranges[-1] = (ranges[-1][0], high, share)
+        else:
+            ranges.append((low, high, share))
+        taken += n
+    return [(low, high) for low, high, _ in ranges]
+
+
+def predicates(column: str, ranges: list[tuple[int, int]]) -> list[str]:
+    """Conditions of which every row meets one; keys that are NULL have one of their own.
+
+    The outer ranges are open, so rows that come in meanwhile have a place, too.
+    """
+    cuts = [low for low, _ in ranges[1:]]
+    if not cuts:
+        return [f"{column} is not null", f"{column} is null"]
+    inner = [
+        f"{column} >= {low} and {column} < {high}"
+        for low, high in zip(cuts, cuts[1:], strict=False)
+    ]
+    return [f"{column} < {cuts[0]}", *inner, f"{column} >= {cuts[-1]}", f"{column} is null"]
+
+
+def read_evenly(
+    spark: SparkSession,
+    url: str,
+    table: str,
+    key: str,
+    properties: Mapping[str, str] | None = None,
+    partitions: int = PARTITIONS,
+) -> DataFrame:
+    """A whole table, in ranges of its whole-number ``key`` that hold about equal rows.
+
+    For keys with gaps or clusters, where ranges of equal width would put most rows into a
+    few tasks. The database counts the rows per slot of keys, a few scans of the key's
+    index; only these counts come to the driver, some thousands at most.
+    """
+    slots = _histogram(spark, url, table, key, properties, partitions)
+    return spark.read.jdbc(
+        url,
+        table,
+        predicates=predicates(key, even_ranges(slots, partitions)),
+        properties={"fetchsize": str(FETCH_SIZE), **(properties or {})},
+    )
+
+
 def read_incremental(
     spark: SparkSession,
     url: str,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import duckdb
 import pytest
 
 from sparkmart.plans import pipeline
@@ -126,3 +127,59 @@ def test_write_compares_counts():
         assert "8 rows, expected 7" in str(error)
     else:
         raise AssertionError("a wrong count must raise")
+
+
+class Counting(Recorder):
+    """Answers the counting queries as a database would, and keeps the predicates."""
+
+    def __init__(self, keys):
+        super().__init__()
+        self.db = duckdb.connect()
+        self.db.execute("create table orders (id bigint)")
+        self.db.executemany("insert into orders values (?)", [(k,) for k in keys])
+
+    def collect(self):
+        return self.db.execute(self.options_seen[-1]["query"]).fetchall()
+
+    def jdbc(self, url, table, predicates, properties):
+        self.predicates, self.properties = predicates, properties
+        return self
+
+    def rows(self):
+        sql = "select count(*) from orders where "
+        return [self.db.execute(sql + p).fetchone()[0] for p in self.predicates]
+
+
+KEYS = {
+    "dense": list(range(1, 2001)),
+    "far apart": [k * 10**14 for k in range(1000)],
+    "in clusters": [*range(900), *range(10**12, 10**12 + 900), 9 * 10**17],
+    "negative": list(range(-500, 500)),
+    "one heavy key": [5] * 900 + list(range(100)),
+    "one key": [7] * 10,
+    "with NULLs": [*range(1000), *[None] * 300],
+}
+
+
+@pytest.mark.parametrize("name", KEYS)
+def test_ranges_hold_equal_rows(monkeypatch, name):
+    monkeypatch.setattr(jdbc, "SLOTS", 64)
+    keys = KEYS[name]
+    source = Counting(keys)
+    jdbc.read_evenly(source, URL, "orders", "id", {"user": "u"}, partitions=8)
+    assert source.properties == {"fetchsize": "10000", "user": "u"}
+    rows = source.rows()
+    assert sum(rows) == len(keys) and len(rows) <= 9
+    assert source.predicates[-1] == "id is null" and rows[-1] == keys.count(None)
+    # Twice the fair share, but for a key that has more by itself.
+    whole = [k for k in keys if k is not None]
+    heaviest = max(whole.count(k) for k in set(whole))
+    assert max(rows[:-1]) <= max(2 * len(whole) / 8, heaviest + len(whole) / 8)
+    assert len(source.options_seen) < 60
+
+
+def test_ranges_of_an_empty_table():
+    source = Counting([None, None])
+    jdbc.read_evenly(source, URL, "orders", "id")
+    assert source.predicates == ["id is not null", "id is null"]
+    assert source.rows() == [0, 2]
