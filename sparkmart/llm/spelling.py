@@ -138,8 +138,11 @@ def _searcher(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _shares(words: DataFrame) -> DataFrame:
-    """(share, first, is_text, word, n): each word as a text and as a query, by both keys."""
+def _shares(words: DataFrame) -> tuple[DataFrame, int]:
+    """(share, first, is_text, word, n): each word as a text and as a query, by both keys.
+
+    Also how many tasks they are for; a few megabytes may be much work.
+    """
     size = F.char_length("word") + 1
     sides = words.select(
         "word",
@@ -161,7 +164,8 @@ def _shares(words: DataFrame) -> DataFrame:
     )
     dealt = sides.join(bounded(hot), ["first", "key"], "left")
     # A key's place; each pair of blocks of a hot one is a share of its own.
-    place = F.pmod(F.xxhash64("first", "key"), F.lit(2 * letters // SHARE + 1))
+    shares = 2 * letters // SHARE + 1
+    place = F.pmod(F.xxhash64("first", "key"), F.lit(shares))
     blocks = F.coalesce("blocks", F.lit(1))
     share = F.when(blocks == 1, place).otherwise(
         F.xxhash64("first", "key", "text_block", "query_block")
@@ -175,9 +179,10 @@ def _shares(words: DataFrame) -> DataFrame:
     queries = dealt.select(
         *kept, every.alias("text_block"), own.alias("query_block"), F.lit(False).alias("is_text")
     )
-    return texts.union(queries.select(*texts.columns)).select(
+    dealt = texts.union(queries.select(*texts.columns)).select(
         share.alias("share"), "first", "is_text", "word", "n"
     )
+    return dealt, shares
 
 
 def _roots(forms: DataFrame) -> DataFrame:
@@ -208,9 +213,9 @@ def variants(words: DataFrame, ratio: int = TIMES_OF_FORM) -> DataFrame:
     form is more frequent than its word, so forms have no circles.
     """
     words = stored(words.select("word", "n"), "words")
+    shares, tasks = _shares(words)
     near = (
-        _shares(words)
-        .repartition("share")
+        shares.repartition(tasks, "share")
         .sortWithinPartitions("share")
         .mapInArrow(_searcher, "word string, n_near long, best string, best_n long")
         .groupBy("word")
