@@ -5,10 +5,11 @@ random normal directions, each projection shifted by a random offset and quantis
 steps of ``STEP``; some projections together are a bucket, in several tables.
 Vectors that share a bucket are compared by their exact cosine.
 
-The number of projections grows with the logarithm of the vectors, so that a bucket
-holds a bounded number of unrelated ones; that of tables follows from it, so that a
-pair at the threshold is missed with a chance of ``MISS`` at most, a closer one with
-a smaller chance.
+The number of projections is that of least cost: more of them make smaller buckets, but
+call for more tables, and each table sends every vector once more. It grows with the
+logarithm of the vectors, so a bucket holds a bounded number of unrelated ones. The number of
+tables follows from it, so that a pair at the threshold is missed with a chance of
+``MISS`` at most, a closer one with a smaller chance.
 
 Buckets with the same members are compared once. A bucket too large for a task is dealt
 out in blocks, each pair of blocks to a task. A pair is counted in the first table where
@@ -34,10 +35,10 @@ from sparkmart.llm.tables import stored
 COSINE = 0.9
 STEP = 2.0
 MISS = 1e-6
-#: Unrelated vectors that a bucket is to hold.
-BUCKET = 16
-#: Vectors of one side of a comparison.
-BLOCK = 2048
+#: Comparisons that take as long as sending a vector to one more bucket.
+SENDING = 1024
+#: Vectors of one side of a comparison, and projections made of them at a time.
+BLOCK, PROJECTIONS = 2048, 1024
 
 
 class Plan(NamedTuple):
@@ -48,7 +49,31 @@ class Plan(NamedTuple):
         """Random directions and offsets for vectors of one size, always the same."""
         rng = np.random.default_rng([29, size])
         n = self.projections * self.tables
-        return rng.standard_normal((size, n)), rng.uniform(0, STEP, n)
+        return rng.standard_normal((n, size)).T, rng.uniform(0, STEP, n)
+
+
+class Hashes:
+    """Bucket keys of vectors; a task draws the directions once for each size in a row."""
+
+    def __init__(self, own: Plan):
+        self.own, self.size = own, None
+
+    def keys(self, x: np.ndarray, tables: int | None = None) -> np.ndarray:
+        """A 64-bit key for each vector (row) and each of the first ``tables`` (column)."""
+        if x.shape[1] != self.size:
+            self.size = x.shape[1]
+            self.directions, self.offsets = self.own.directions(self.size)
+        tables, k = self.own.tables if tables is None else tables, self.own.projections
+        key = np.full((len(x), tables), self.size, np.uint64)
+        some = max(1, PROJECTIONS // k)
+        for low in range(0, tables, some):
+            to = min(low + some, tables)
+            at = slice(low * k, to * k)
+            steps = np.floor((x @ self.directions[:, at] + self.offsets[at]) / STEP)
+            steps = steps.astype(np.int64).view(np.uint64).reshape(len(x), to - low, k)
+            for j in range(k):
+                key[:, low:to] = shingles.mix(key[:, low:to] + steps[:, :, j])
+        return key
 
 
 def collision(distance: float) -> float:
@@ -61,8 +86,12 @@ def collision(distance: float) -> float:
 def plan(vectors: int, cosine: float = COSINE) -> Plan:
     near = collision(math.sqrt(2 - 2 * cosine))
     apart = collision(math.sqrt(2))
-    k = max(1, math.ceil(math.log(max(1, vectors / BUCKET)) / -math.log(apart)))
-    return Plan(k, math.ceil(math.log(MISS) / math.log1p(-(near**k))))
+
+    def tables(k: int) -> int:
+        return math.ceil(math.log(MISS) / math.log1p(-(near**k)))
+
+    k = min(range(1, 64), key=lambda k: tables(k) * (SENDING + vectors * apart**k))
+    return Plan(k, tables(k))
 
 
 def _unit(values: np.ndarray, size: int) -> np.ndarray:
@@ -71,19 +100,9 @@ def _unit(values: np.ndarray, size: int) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _keys(x: np.ndarray, own: Plan) -> np.ndarray:
-    """A 64-bit bucket key for each vector (row) and table (column)."""
-    directions, offsets = own.directions(x.shape[1])
-    steps = np.floor((x @ directions + offsets) / STEP).astype(np.int64).view(np.uint64)
-    steps = steps.reshape(len(x), own.tables, own.projections)
-    key = np.full(steps.shape[:2], x.shape[1], np.uint64)
-    for j in range(own.projections):
-        key = shingles.mix(key + steps[:, :, j])
-    return key
-
-
 def _hasher(own: Plan):
     schema = pa.schema([("rep", pa.int64()), ("buckets", pa.list_(pa.int64()))])
+    hashes = Hashes(own)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -94,7 +113,7 @@ def _hasher(own: Plan):
                 for size in np.unique(sizes).tolist():
                     rows = np.flatnonzero(sizes == size)
                     x = np.stack([values[bounds[r] : bounds[r + 1]] for r in rows])
-                    keys = _keys(_unit(x, size), own).view(np.int64)
+                    keys = hashes.keys(_unit(x, size)).view(np.int64)
                     lists = pa.ListArray.from_arrays(
                         pa.array(np.arange(len(rows) + 1) * own.tables, pa.int32()),
                         pa.array(keys.ravel()),
@@ -107,43 +126,58 @@ def _hasher(own: Plan):
 def _comparer(own: Plan, cosine: float):
     schema = pa.schema([("rep", pa.int64()), ("links", pa.int64()), ("near", pa.int64())])
 
+    hashes = Hashes(own)
+
+    def compared(reps, x, side, copies, table: int) -> pa.RecordBatch | None:
+        linked = x @ x.T >= cosine
+        if side.any():
+            linked &= side[:, None] != side[None, :]
+        i, j = np.nonzero(np.triu(linked, 1))
+        if table and len(i):
+            # Of the tables before, only the vectors with a link have to be looked up.
+            some, place = np.unique(np.concatenate([i, j]), return_inverse=True)
+            key = hashes.keys(x[some], table)
+            left, right = place[: len(i)], place[len(i) :]
+            fresh = np.ones(len(i), bool)
+            for low in range(0, len(i), 1 << 18):
+                at = slice(low, low + (1 << 18))
+                fresh[at] = ~(key[left[at]] == key[right[at]]).any(axis=1)
+            i, j = i[fresh], j[fresh]
+        if not len(i):
+            return None
+        links = np.bincount(i, copies[j], len(x)) + np.bincount(j, copies[i], len(x))
+        new = np.zeros_like(linked)
+        new[i, j] = new[j, i] = True
+        rows = np.flatnonzero(links)
+        near = reps[grouping.local_components(new)]
+        return pa.record_batch(
+            [
+                pa.array(reps[rows]),
+                pa.array(links[rows].astype(np.int64)),
+                pa.array(near[rows]),
+            ],
+            schema=schema,
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in grouping.by_key(batches, "group"):
-            reps = group.column("rep").to_numpy()
             values, bounds = grouping.lists(group.column("embedding"))
-            sizes = np.diff(bounds)
-            if (sizes != sizes[0]).any():
-                continue  # only by a chance collision of keys: sizes are part of them
-            x = _unit(values, int(sizes[0]))
-            linked = x @ x.T >= cosine
-            side = group.column("side").to_numpy()
-            if side.any():
-                linked &= side[:, None] != side[None, :]
-            i, j = np.nonzero(np.triu(linked, 1))
-            table = int(group.column("tab")[0].as_py())
-            if table and len(i):
-                key = _keys(x, own)[:, :table]
-                fresh = np.ones(len(i), bool)
-                for low in range(0, len(i), 1 << 20):
-                    at = slice(low, low + (1 << 20))
-                    fresh[at] = ~(key[i[at]] == key[j[at]]).any(axis=1)
-                i, j = i[fresh], j[fresh]
-            if not len(i):
-                continue
-            copies = group.column("copies").to_numpy()
-            links = np.bincount(i, copies[j], len(x)) + np.bincount(j, copies[i], len(x))
-            new = np.zeros_like(linked)
-            new[i, j] = new[j, i] = True
-            rows = np.flatnonzero(links)
-            near = reps[grouping.local_components(new)]
-            yield pa.record_batch(
-                [
-                    pa.array(reps[rows]),
-                    pa.array(links[rows].astype(np.int64)),
-                    pa.array(near[rows]),
-                ],
-                schema=schema,
+            reps, side, copies = (
+                group.column(c).to_numpy() for c in ("rep", "side", "copies")
             )
+            table = int(group.column("tab")[0].as_py())
+            sizes = np.diff(bounds)
+            # More than one size only by a chance collision of keys, which hold the size.
+            for size in np.unique(sizes).tolist():
+                own_size = np.flatnonzero(sizes == size)
+                if len(own_size) == len(sizes):
+                    x = values
+                else:
+                    x = np.concatenate([values[bounds[r] : bounds[r + 1]] for r in own_size])
+                x = _unit(x, size)
+                found = compared(reps[own_size], x, side[own_size], copies[own_size], table)
+                if found is not None:
+                    yield found
 
     return run
 
