@@ -23,20 +23,27 @@ def sample(
     """(text, label) of at most ``per_label`` documents with label 0 and with label 1.
 
     Held-out, null and other labels are left out. Which rows are taken depends on a
-    hash of their ids alone. The sample is bounded, so it is what is broadcast.
+    hash of their ids alone. The sample is bounded, so it is what is broadcast. Of a repeated
+    id, one row is taken for each label that it has: that with the least text.
     """
-    usable = labels.select(
-        F.col("doc_id").alias("_id"), F.col(label).cast("int").alias("label")
-    ).where(F.col("_id").isNotNull() & ~held_out("_id", parts, part))
+    usable = (
+        labels.select(F.col("doc_id").alias("_id"), F.col(label).cast("int").alias("label"))
+        .where(F.col("_id").isNotNull() & ~held_out("_id", parts, part))
+        .distinct()
+    )
     taken = [
         usable.where(F.col("label") == value)
         .orderBy(F.xxhash64("_id"), "_id")
         .limit(per_label)
         for value in (0, 1)
     ]
-    return docs.select(F.col("doc_id").alias("_doc"), "text").join(
-        F.broadcast(taken[0].union(taken[1])), F.col("_doc") == F.col("_id")
-    ).select("text", "label")
+    return (
+        docs.select(F.col("doc_id").alias("_doc"), "text")
+        .join(F.broadcast(taken[0].union(taken[1])), F.col("_doc") == F.col("_id"))
+        .groupBy("_id", "label")
+        .agg(F.min("text").alias("text"))
+        .select("text", "label")
+    )
 
 
 def shares(labels: DataFrame, label: str, parts: int, part: int) -> tuple[int, int]:

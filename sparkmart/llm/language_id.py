@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from sparkmart.llm import labelled, text_bytes
 from sparkmart.llm.optimiser import Adam, sigmoid
+from sparkmart.llm.tables import bounded
 
 # Families of languages by their ISO 639-1 codes. A language that is not
 # listed is a family of its own.
@@ -40,11 +41,10 @@ _FAMILY = {code: name for name, codes in FAMILIES.items() for code in codes.spli
 
 UNDETERMINED = "und"
 PARTS, HELD_OUT = 4, 2
-#: Bounds of the sample that is learned from: documents per language (as expected; at
-#: most twice as many), bytes of one, and languages (the most frequent ones).
-PER_LANGUAGE = 500
+#: Bounds of the sample that is learned from, as expected: documents per language and in
+#: all (but one for each language, of which none is left out), and bytes of one.
+PER_LANGUAGE, SAMPLE = 500, 20_000
 LONGEST = 1 << 16
-LANGUAGES = 200
 EPOCHS, BATCH, RATE, DECAY = 12, 32, 2e-2, 1e-4
 #: Texts whose features a task holds.
 _ROWS = 512
@@ -179,27 +179,28 @@ def _train(sample: pa.Table) -> tuple:
 def fit(docs: DataFrame) -> Model:
     """Learn from a sample of the documents that have a language and are not held out.
 
-    Up to ``PER_LANGUAGE`` documents of each language are expected, taken by a hash of
-    their ids; documents longer than ``LONGEST`` bytes are not learned from.
+    Up to ``PER_LANGUAGE`` documents of each language are expected, fewer of each where
+    there are so many languages that ``SAMPLE`` would be passed, but one at least. They are
+    taken by a hash of their ids; documents longer than ``LONGEST`` bytes are not learned
+    from, and of rows that repeat an id and language, that with the least text is.
     """
     usable = docs.select("doc_id", "lang", "text").where(
         F.col("lang").isNotNull()
         & F.col("doc_id").isNotNull()
+        & (F.octet_length("text") <= LONGEST)
         & ~labelled.held_out("doc_id", PARTS, HELD_OUT)
     )
-    counts = (
-        usable.groupBy("lang")
-        .agg(F.count("*").alias("n"))
-        .orderBy(F.desc("n"), "lang")
-        .limit(LANGUAGES)
-    )
-    part = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
+    place = F.xxhash64("doc_id")
+    counts = usable.groupBy("lang").agg(F.count("*").alias("n"), F.min(place).alias("first"))
+    languages = counts.count()
+    wanted = min(PER_LANGUAGE, max(1, SAMPLE // max(1, languages)))
+    part = F.pmod(place, F.lit(1 << 30)) / float(1 << 30)
     sample = (
-        usable.where(F.octet_length("text") <= LONGEST)
-        .join(F.broadcast(counts), "lang")
-        .where(part < PER_LANGUAGE / F.col("n"))
+        usable.join(bounded(counts), "lang")
+        .where((part < wanted / F.col("n")) | (place == F.col("first")))
+        .groupBy("doc_id", "lang")
+        .agg(F.min("text").alias("text"))
         .select("lang", "text")
-        .limit(2 * PER_LANGUAGE * LANGUAGES)
         .mapInArrow(_encode, "lang string, features binary")
     )
     return Model(*labelled.train_in_task(sample, _train))

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkmart.llm import labelled, text_bytes
+from sparkmart.llm import labelled, shingles, text_bytes
 from sparkmart.llm.optimiser import Adam, sigmoid
 
 PASSAGE = 400
@@ -62,17 +62,21 @@ class Model(NamedTuple):
     prior: float
 
 
-def _repeats(data: np.ndarray, passage: np.ndarray, n: int) -> np.ndarray:
-    """For each passage, the share of words as long as the last and beginning like it."""
-    space = (data == 0x20) | ((data >= 0x09) & (data <= 0x0D))
-    starts = np.flatnonzero(~space & np.append(True, space[:-1]))
+def _repeats(
+    data: np.ndarray, offsets: np.ndarray, passage: np.ndarray, n: int
+) -> np.ndarray:
+    """For each passage, the share of words as long as the last and beginning like it.
+
+    A word is a run of other than white space within one text, whatever stands before it.
+    """
+    starts, stops = shingles.word_bounds(data, offsets)
     if not len(starts):
         return np.zeros(n)
-    size = np.diff(np.append(starts, len(data)))
-    padded = np.append(data, [0, 0])
+    size = stops - starts
     same = (size[1:] == size[:-1]) & (passage[starts[1:]] == passage[starts[:-1]])
     for k in range(3):
-        same &= padded[starts[1:] + k] == padded[starts[:-1] + k]
+        last = np.minimum(k, size - 1)
+        same &= data[starts[1:] + last[1:]] == data[starts[:-1] + last[:-1]]
     words = np.bincount(passage[starts], minlength=n)
     return np.bincount(passage[starts[1:][same]], minlength=n) / np.maximum(1, words)
 
@@ -97,7 +101,7 @@ def passage_features(
         [single.reshape(-1, _N), double.reshape(-1, _N * _N)], axis=1
     ).astype(np.float32)
     held = np.maximum(1, shares[:, :_N].sum(axis=1, keepdims=True))
-    repeats = _repeats(data, passage, int(first[-1])).astype(np.float32)
+    repeats = _repeats(data, offsets, passage, int(first[-1])).astype(np.float32)
     return np.sqrt(np.column_stack([shares / held, repeats])), counts
 
 

@@ -126,3 +126,134 @@ def test_held_out_goes_by_crc32(spark):
     assert all(r.out == (zlib.crc32(str(r.id).encode()) % 4 == 2) for r in ids.collect())
     none = spark.sql("select cast(null as bigint) as id")
     assert none.select(labelled.held_out("id", 4, 2)).first()[0] is False
+
+
+def blocks_of(texts):
+    data = [t.encode() for t in texts]
+    offsets = np.concatenate([[0], np.cumsum([len(d) for d in data])]).astype(np.int64)
+    return np.frombuffer(b"".join(data), np.uint8), offsets
+
+
+TEXTS = [
+    "gamma gamma delta",
+    "x",
+    "",
+    " ",
+    "ab ab ab a a",
+    "one two two",
+    "é é à ab\nab",
+    "no end",
+    "word " * 300,
+    "a" * 1000 + " " + "a" * 999,
+]
+
+
+def test_a_text_scores_alike_alone_and_behind_any_other():
+    whole, counts = quality_mil.passage_features(*blocks_of(TEXTS))
+    bounds = np.concatenate([[0], np.cumsum(counts)])
+    for k, text in enumerate(TEXTS):
+        alone, _ = quality_mil.passage_features(*blocks_of([text]))
+        assert (alone == whole[bounds[k] : bounds[k + 1]]).all(), text
+        for before in TEXTS:
+            both, n = quality_mil.passage_features(*blocks_of([before, text]))
+            assert (both[n[0] :] == alone).all(), (before, text)
+    for make in (language_id.features, lambda d, o: toxicity_cnn.word_keys(d, o)[0]):
+        parts = [make(*blocks_of([t])) for t in TEXTS]
+        assert (np.concatenate(parts) == make(*blocks_of(TEXTS))).all()
+
+
+def test_repeated_words_are_counted_one_by_one():
+    got, _ = quality_mil.passage_features(*blocks_of(TEXTS[:8]))
+    for features, text in zip(got, TEXTS, strict=False):
+        words = [w.encode() for w in text.split()]
+        same = sum(
+            len(a) == len(b) and a[:3] == b[:3] for a, b in zip(words, words[1:], strict=False)
+        )
+        assert features[-1] == pytest.approx((same / max(1, len(words))) ** 0.5)
+
+
+def test_attention_equals_a_loop_over_passages(spark, docs, labels):
+    model = quality_mil.fit(docs, labels)
+    texts = [r.text or "" for r in docs.select("text").limit(30).collect()] + TEXTS
+    x, counts = quality_mil.passage_features(*blocks_of(texts))
+    got = quality_mil.log_odds(x, counts, model)
+    w = {k: v.astype(float) for k, v in model.weights.items()}
+    at = 0
+    for k, n in enumerate(counts):
+        states, energies = [], []
+        for row in x[at : at + n].astype(float):
+            h = np.tanh((row - model.mean) * model.scale @ w["encode"] + w["encode_bias"])
+            gate = 1 / (1 + np.exp(-(h @ w["gate"])))
+            states.append(h)
+            energies.append(np.exp((np.tanh(h @ w["attend"]) * gate) @ w["weigh"]))
+        z = sum(e * h for e, h in zip(energies, states, strict=True)) / sum(energies)
+        assert got[k] == pytest.approx(z @ w["score"] + w["score_bias"][0] + model.prior, abs=1e-2)
+        at += n
+
+
+def test_votes_equal_a_loop_over_pairs(spark, docs):
+    model = language_id.fit(docs)
+    texts = [r.text or "" for r in docs.select("text").limit(60).collect()]
+    x = language_id.features(*blocks_of(texts))
+    found, _ = language_id.predict(x, model)
+    for row, lang in zip(x, found, strict=True):
+        family = max(model.by_family, key=lambda f: row @ model.by_family[f][0] + model.by_family[f][1])
+        votes = dict.fromkeys(model.families[family], 0.0)
+        for (a, b), (weights, bias) in model.by_pair.items():
+            if a in votes:
+                votes[a if row @ weights + bias > 0 else b] += 1
+        assert votes[lang] == max(votes.values())
+
+
+def test_convolution_equals_a_loop_over_windows(spark, docs, labels):
+    rng = np.random.default_rng(2)
+    counts = np.array([1, 7, 3, 40])
+    w = {
+        "words": rng.standard_normal((toxicity_cnn.BUCKETS, toxicity_cnn.SIZE)),
+        "stems": rng.standard_normal((toxicity_cnn.BUCKETS, toxicity_cnn.SIZE)),
+        "bias": rng.standard_normal(toxicity_cnn.FILTERS * len(toxicity_cnn.WIDTHS)),
+        "score": rng.standard_normal(toxicity_cnn.FILTERS * len(toxicity_cnn.WIDTHS)),
+        "score_bias": np.array([0.3]),
+    }
+    for k in toxicity_cnn.WIDTHS:
+        w[f"filters{k}"] = rng.standard_normal((k, 2 * toxicity_cnn.SIZE, toxicity_cnn.FILTERS))
+    ids = rng.integers(0, toxicity_cnn.BUCKETS, (counts.sum(), 2))
+    got = toxicity_cnn.log_odds(ids, counts, w)
+    at = 0
+    for k, n in enumerate(counts):
+        words = [np.concatenate([w["words"][a], w["stems"][b]]) for a, b in ids[at : at + n]]
+        words += [np.zeros(2 * toxicity_cnn.SIZE)] * (max(toxicity_cnn.WIDTHS) - 1)
+        top = []
+        for width in toxicity_cnn.WIDTHS:
+            bank = w[f"filters{width}"]
+            values = [
+                sum(words[i + j] @ bank[j] for j in range(width)) for i in range(n)
+            ]
+            # Behind the last word a filter is 0.
+            top.append(np.max([*values, 0 * values[0]], axis=0))
+        top = np.tanh(np.concatenate(top) + w["bias"])
+        assert got[k] == pytest.approx(top @ w["score"] + 0.3, abs=1e-3)
+        at += n
+
+
+def test_every_language_is_learned(spark, monkeypatch):
+    """250 languages, each with a word of its own, the rarest with one document."""
+    monkeypatch.setattr(language_id, "SAMPLE", 600)
+    rows = []
+    for k in range(250):
+        word = f"{chr(97 + k % 26)}{chr(97 + k // 26)}q"
+        rows += [(len(rows) + j, f"{word} " * 30, f"l{k}", "s") for j in range(8 if k else 300)]
+    docs = frames.documents(spark, rows)
+    model = language_id.fit(docs)
+    kept = docs.where(~labelled.held_out("doc_id", 4, 2))
+    assert len(model.families) == kept.select("lang").distinct().count() == 250
+    found = language_id.identify(docs, model).join(docs.select("doc_id", "lang"), "doc_id")
+    assert found.where("lang_pred = lang").count() > 0.97 * len(rows)
+
+
+def test_a_repeated_id_is_one_row_of_the_sample(spark):
+    rows = [(1, "t", "en", "a")] * 500 + [(k, f"t{k}", "en", "a") for k in range(2, 60)]
+    labels = spark.createDataFrame([(k, k % 2) for k in range(60)] * 3, "doc_id long, toxic int")
+    taken = labelled.sample(frames.documents(spark, rows), labels, "toxic", 4, 2, 1000)
+    texts = [r.text for r in taken.collect()]
+    assert len(texts) == len(set(texts))
