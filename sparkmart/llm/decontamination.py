@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkmart.llm.tables import bounded, stored
+from sparkmart.llm.tables import bounded, packed, stored
 
 WINDOW, SHINGLE = 10, 3
 
@@ -225,13 +225,16 @@ def contamination(
 
 
 def clean_documents(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that no benchmark window hits, with all their columns."""
+    """The rows of ``docs`` that no benchmark window hits, with all their columns.
+
+    Columns may have any names. Rows with null, empty or blank texts stay, and all rows do
+    without items; a repeated row goes or stays each time; an empty table gives none.
+    """
     found = contamination(docs, items, **options).where("contaminated")
     hit = stored(
-        found.select(F.col("doc_id").alias("_hit_id"), F.col("text_hash").alias("_hit_hash")),
+        found.select(F.col("doc_id").alias("hit_id"), F.col("text_hash").alias("hit_hash")),
         "contaminated",
     )
-    same = F.col("doc_id").eqNullSafe(F.col("_hit_id")) & (
-        F.xxhash64("text") == F.col("_hit_hash")
-    )
-    return docs.join(bounded(hit), same, "left_anti")
+    rows = docs.select(packed(docs), "doc_id", F.xxhash64("text").alias("hash"))
+    same = F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("hash") == F.col("hit_hash"))
+    return rows.join(bounded(hit), same, "left_anti").select("row.*")

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from sparkmart.llm import grouping, shingles, text_bytes
 from sparkmart.llm.components import components
-from sparkmart.llm.tables import bounded, stored
+from sparkmart.llm.tables import bounded, packed, stored
 
 WORDS = 5
 SIMILARITY = (75, 100)
@@ -323,19 +323,22 @@ def near_duplicates(
 def first_documents(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with one row of each group of near duplicates, and all its columns.
 
-    Of rows that share the kept id one stays; rows without an id all stay.
+    Of rows that share the kept id one stays; rows without an id all stay, and so do all
+    rows of null, empty or blank texts that have an id of their own. Columns may have any
+    names; an empty table gives an empty result.
     """
     found = stored(near_duplicates(docs, **options).select("doc_id", "kept"), "kept")
-    rest = found.where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    twice = (
+    rest = found.where(~F.col("kept")).select("doc_id").distinct()
+    twice = stored(
         found.where("kept and doc_id is not null")
         .groupBy("doc_id")
         .agg(F.count("*").alias("n"))
         .where("n > 1")
-        .select(F.col("doc_id").alias("_twice"))
+        .select("doc_id"),
+        "repeated",
     )
-    stay = docs.join(bounded(rest), F.col("doc_id") == F.col("_gone"), "left_anti")
-    twice = bounded(stored(twice, "repeated"))
-    once = stay.join(twice, F.col("doc_id") == F.col("_twice"), "left_anti")
-    repeated = stay.join(twice, F.col("doc_id") == F.col("_twice"), "left_semi")
-    return once.unionByName(repeated.dropDuplicates(["doc_id"]))
+    rows = docs.select(packed(docs), "doc_id")
+    stay = rows.join(bounded(rest), "doc_id", "left_anti")
+    once = stay.join(bounded(twice), "doc_id", "left_anti")
+    repeated = stay.join(bounded(twice), "doc_id", "left_semi")
+    return once.unionByName(repeated.dropDuplicates(["doc_id"])).select("row.*")

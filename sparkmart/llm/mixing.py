@@ -23,7 +23,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkmart.llm.tables import bounded, stored
+from sparkmart.llm.tables import bounded, packed, stored
 
 Target = float | Mapping[str, float]
 TARGETS: dict[str, Target] = {"source": 0.7, "lang": 0.7, "topic": 1.0}
@@ -32,8 +32,8 @@ BUDGET = 0.8
 ROUNDS = 8
 #: The largest relative miss of a marginal at which fitting ends.
 TOLERANCE = 1e-6
-#: Targets that contradict each other are given up, with a warning, if the miss has not
-#: fallen by a twentieth in one of so many plans in a row.
+#: Targets contradict each other if the miss has not fallen by a twentieth in one of so
+#: many plans in a row; the fitting has then come to its end.
 PATIENCE = 5
 SEED = "mix"
 #: Cells that are fitted in one task.
@@ -128,13 +128,15 @@ def rake(
     rounds: int = ROUNDS,
     budget: float | None = None,
 ) -> DataFrame:
-    """``cells`` (source, lang, topic, tokens) with a ``weight`` that meets the targets.
+    """``cells`` (source, lang, topic, tokens) with a ``weight`` that meets the targets, and
+    the ``miss``: by how much of itself a target share is missed at most.
 
     Weights are shares of all tokens. With a ``budget`` (a share of all tokens), they are
     tokens to be kept, at most those of the cell. Where targets can't all be met, the
-    last one named is, and the others as nearly as the fitting gets; a warning names the
-    miss. Up to ``LOCAL_CELLS`` cells are fitted in one task; more are shuffled for every
-    marginal. ``rounds`` go into one plan.
+    last one named is, and the others as nearly as the fitting gets; ``miss`` tells, and
+    so does a warning. Up to ``LOCAL_CELLS`` cells are fitted in one task; more are shuffled for every
+    marginal. ``rounds`` go into one plan. Each cell is one row, its names not null; cells
+    without tokens get no weight; no cells give no rows.
     """
     few = cells.limit(LOCAL_CELLS + 1).count() <= LOCAL_CELLS
     # Cells of a value that explicit shares don't name have no room.
@@ -172,7 +174,7 @@ def rake(
             break
     if miss > TOLERANCE:
         warnings.warn(f"targets can't all be met: a share is {miss:.2g} of itself off", stacklevel=2)
-    return fitted.select(*cells.columns, weight.alias("weight"))
+    return fitted.select(*cells.columns, weight.alias("weight"), F.lit(miss).alias("miss"))
 
 
 def _miss(fitted: DataFrame, names: list[str]) -> float:
@@ -206,38 +208,28 @@ def _scale(rows: DataFrame, weight: Column, size: Column, goal: float, scale: fl
         before, scale = count, max(scale, (goal - kept) / open_)
 
 
-def _clipped(cells: DataFrame, budget: float) -> DataFrame:
-    """Cells raked without a budget, with the ``probability`` of a document."""
-    total = cells.agg(F.sum("tokens")).first()[0] or 0
-    rate = F.col("weight") * float(total) / F.col("tokens")
-    scale = _scale(
-        cells, F.col("weight") * float(total), F.col("tokens"), budget * total, float(budget)
-    )
-    return cells.withColumn("probability", F.least(F.lit(1.0), rate * scale))
-
-
 def calibrated(
     docs: DataFrame,
     targets: Mapping[str, Target] = TARGETS,
     budget: float = BUDGET,
-    refit: bool = True,
 ) -> DataFrame:
-    """``docs`` with _mix_source, _mix_lang, _mix_topic, _mix_tokens, _mix_probability and
-    _mix_kept.
+    """``docs`` with _mix_source, _mix_lang, _mix_topic, _mix_tokens, _mix_probability,
+    _mix_kept and _mix_miss.
 
-    ``docs`` has doc_id, text, source and lang; all its columns stay. The choice goes by
+    ``docs`` has doc_id, text, source and lang; all its columns stay, but those of the names
+    above. The choice goes by
     a hash of the id, so it is the same in every run; rows that share an id share it.
 
-    Without ``refit``, shares are fitted as if cells had no bound and chances are clipped
-    at 1; one scale for all open cells then makes up for the tokens that full ones lack,
-    so the shares kept are off their targets.
+    ``_mix_miss``, the same in all rows, is by how much of itself a target is missed at
+    most: up to ``TOLERANCE``, or more where targets contradict each other.
 
     * a null source, language or id counts as an empty one;
     * a text without words (null, empty, white space) has no tokens: never kept;
     * values that explicit shares don't name have a share of 0: never kept;
     * an empty table gives an empty result.
     """
-    described = _described(docs)
+    kinds = ("source", "lang", "topic", "tokens", "probability", "kept", "miss")
+    described = _described(docs.drop(*(f"_mix_{k}" for k in kinds)))
     keys = ["source", "lang", "topic"]
     cells = stored(
         described.where("_mix_tokens > 0")
@@ -245,15 +237,11 @@ def calibrated(
         .agg(F.sum("_mix_tokens").alias("tokens")),
         "cells",
     )
-    if refit:
-        chances = rake(cells, targets, budget=budget).withColumn(
-            "probability", F.col("weight") / F.col("tokens")
-        )
-    else:
-        chances = _clipped(rake(cells, targets), budget)
-    chances = chances.select(
+    raked = rake(cells, targets, budget=budget)
+    miss = raked.agg(F.max("miss")).first()[0] or 0.0
+    chances = raked.select(
         *(F.col(k).alias(f"_mix_{k}") for k in keys),
-        F.col("probability").alias("_mix_chance"),
+        (F.col("weight") / F.col("tokens")).alias("_mix_chance"),
     )
     digits = F.substring(
         F.md5(F.concat_ws(":", F.lit(SEED), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))),
@@ -271,16 +259,22 @@ def calibrated(
         *described.columns,
         chance.alias("_mix_probability"),
         (place < chance).alias("_mix_kept"),
+        F.lit(miss).alias("_mix_miss"),
     )
 
 
 def sample(
     docs: DataFrame, targets: Mapping[str, Target] = TARGETS, budget: float = BUDGET
 ) -> DataFrame:
-    """The kept rows of ``docs``, with their ``probability`` (which replaces one there)."""
+    """The kept rows of ``docs``, with their ``probability`` (which replaces one there).
+
+    All other columns stay, whatever their names. Nulls, empty texts, repeated rows and
+    empty tables are treated as in :func:`calibrated`.
+    """
     names = [c for c in docs.columns if c != "probability"]
+    rows = docs.select(packed(docs, names), "doc_id", "text", "source", "lang")
     return (
-        calibrated(docs, targets, budget)
+        calibrated(rows, targets, budget)
         .where("_mix_kept")
-        .select(*names, F.col("_mix_probability").alias("probability"))
+        .select("row.*", F.col("_mix_probability").alias("probability"))
     )

@@ -195,10 +195,45 @@ from every e join named n on e.vec_id = n.x left join counted c on e.vec_id = c.
 """
 
 
-def _mix(rounds: int = 8, steps: int = 6, budget: float = 0.8) -> str:
-    """Temperatures 0.7 for source and language, 1 for topic."""
+def _kept_share(by: str, power: float, budget: float, steps: int = 12) -> str:
+    """``target_<by>``: the tokens to be kept of each value, at most those that it has."""
     parts = [
-        r"""with described as (
+        f"""parts_{by} as materialized (
+  select {by}, sum(n) as seen, pow(sum(n), {power}) / sum(pow(sum(n), {power})) over () as part,
+    {budget} * sum(sum(n)) over () as goal
+  from cells group by {by}
+), scale0_{by} as (
+  select min(goal) as x from parts_{by}
+)"""
+    ]
+    for i in range(steps):
+        parts.append(
+            f"""scale{i + 1}_{by} as materialized (
+  select greatest(min(x), coalesce((min(goal) - sum(case when part * x >= seen then seen
+    else 0 end)) / nullif(sum(case when part * x < seen then part else 0 end), 0), min(x))) as x
+  from parts_{by}, scale{i}_{by}
+)"""
+        )
+    parts.append(
+        f"""target_{by} as materialized (
+  select {by}, least(seen, part * x) as goal from parts_{by}, scale{steps}_{by}
+)"""
+    )
+    return ", ".join(parts)
+
+
+def _mix(rounds: int = 400, measured: int = 8, budget: float = 0.8) -> str:
+    """Temperatures 0.7 for source and language, 1 for topic; cells count up to their tokens.
+
+    Fitting ends at the first multiple of ``measured`` rounds that meets all targets.
+    """
+    misses = " union all ".join(
+        f"""select k, abs(sum(least(w, n)) / min(goal_{by}) - 1) as off
+    from measured group by k, {by}"""
+        for by in "slt"
+    )
+    return (
+        r"""with recursive described as (
   select doc_id, source, lang, coalesce(text, '') as body,
     len(list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\x0B\f\r]+'),
       lambda w: w <> '')) as n
@@ -210,46 +245,34 @@ def _mix(rounds: int = 8, steps: int = 6, budget: float = 0.8) -> str:
       when contains(body, '@') then 'contact' when contains(body, ' | ') then 'table'
       when n < 100 then 'short' when n > 1000 then 'long' else 'prose' end as t
   from described
-), w0 as materialized (
-  select s, l, t, sum(n)::double as n, sum(n)::double as w from docs where n > 0 group by all
-)"""
-    ]
-    for by, power in (("s", 0.7), ("l", 0.7), ("t", 1.0)):
-        parts.append(
-            f"""target_{by} as materialized (
-  select {by}, pow(sum(n), {power}) / sum(pow(sum(n), {power})) over () as share
-  from w0 group by {by}
-)"""
+), cells as materialized (
+  select s, l, t, sum(n)::double as n from docs where n > 0 group by all
+), """
+        + ", ".join(
+            _kept_share(by, power, budget) for by, power in (("s", 0.7), ("l", 0.7), ("t", 1.0))
         )
-    k = 0
-    for _ in range(rounds):
-        for by in "slt":
-            parts.append(
-                f"""w{k + 1} as materialized (
-  select w.s, w.l, w.t, w.n, w.w * g.share / sum(w.w) over (partition by w.{by}) as w
-  from w{k} w join target_{by} g on w.{by} = g.{by}
-)"""
-            )
-            k += 1
-    parts.append(
-        f"""rates as materialized (
-  select s, l, t, n, w * sum(n) over () / n as rate, sum(n) over () as total from w{k}
-), x0 as (
-  select {budget}::double as x
-)"""
+        + f""", fit as (
+  select 0 as k, s, l, t, n, n as w, a.goal as goal_s, b.goal as goal_l, c.goal as goal_t
+  from cells join target_s a using (s) join target_l b using (l) join target_t c using (t)
+  union all
+  select k + 1, s, l, t, n, w * max(factor) over (partition by v), goal_s, goal_l, goal_t
+  from (
+    select *, (goal - (sum(n) over (partition by v) - sum(n) over upto))
+      / nullif(sum(w) over upto, 0) as factor
+    from (
+      select *, case k % 3 when 0 then s when 1 then l else t end as v,
+        case k % 3 when 0 then goal_s when 1 then goal_l else goal_t end as goal
+      from fit where k < {3 * rounds}
     )
-    for i in range(steps):
-        parts.append(
-            f"""x{i + 1} as materialized (
-  select greatest(min(x), coalesce(({budget} * min(total) - sum(case when rate * x >= 1
-    then n else 0 end)) / nullif(sum(case when rate * x < 1 then n * rate else 0 end), 0),
-    min(x))) as x
-  from rates, x{i}
-)"""
-        )
-    parts.append(
-        f"""chances as (
-  select s, l, t, least(1.0, rate * x) as p from rates, x{steps}
+    window upto as (partition by v order by w / n, s, l, t rows unbounded preceding)
+  )
+), measured as materialized (
+  select * from fit where k > 0 and k % {3 * measured} = 0
+), misses as (
+  select k, max(off) as off from ({misses}) group by k
+), chances as (
+  select s, l, t, least(w, n) / n as p from measured
+  where k = (select min(k) from misses where off <= 1e-6)
 ), drawn as (
   select d.*, case when n > 0 then coalesce(p, 0) else 0 end as p,
     ('0x' || substr(md5('mix:' || coalesce(doc_id::varchar, '')), 1, 8))::bigint
@@ -260,7 +283,6 @@ select doc_id, source, lang, t as topic, n as n_tokens, round(p::double, 6) as p
   place < p as kept
 from drawn"""
     )
-    return ", ".join(parts)
 
 
 def build() -> dict[str, str]:

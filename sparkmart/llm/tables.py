@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkmart.session import fresh_path
@@ -25,6 +25,14 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def packed(df: DataFrame, names: list[str] | None = None) -> Column:
+    """A row's columns (all, or those named) as one column ``row``.
+
+    Whatever they are called, they clash with no other; ``select("row.*")`` unpacks them.
+    """
+    return F.struct(*(F.col(f"`{c}`") for c in names or df.columns)).alias("row")
+
+
 def bounded(df: DataFrame) -> DataFrame:
     """Marked for broadcast if it has few rows, and unchanged if not; counts them."""
     few = df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS

@@ -39,7 +39,9 @@ def clashing(df: DataFrame) -> DataFrame:
     """With columns that have the names operators use inside."""
     names = (
         "words row place element group items sketch component_id kept probability weight "
-        "score secrets spans label tokens topic rep links value own other window"
+        "score secrets spans label tokens topic rep links value own other window "
+        "_gone _twice _hit_id _hit_hash hit_id hit_hash hash _mix_tokens _mix_kept "
+        "_mix_probability _row _id _doc first key share is_text phase copies code"
     )
     return df.selectExpr("*", *(f"'x' as `{name}`" for name in names.split()))
 
