@@ -1,10 +1,11 @@
 """Chat formatting with a grammar round trip.
 
 A turn is written as ``<|im_start|>`` role newline text ``<|im_end|>`` newline. Each
-written turn is read again by the parser below; if that gives back another role or
-text, the offending part is escaped and the turn is written and read once more, until
-both are identical. Escaping puts one more backslash into each ``<``, backslashes,
-``|`` (so no control string is left), and writes a newline in a role as ``<|nl|>``;
+written turn is read again by the parser below, which takes no ``<|...|>`` but those of
+the template; if it gives back another role or text, or none, the offending part is escaped
+and the turn is written and read once more, until both are identical. Escaping puts one more
+backslash into each ``<``, backslashes, ``|`` (so nothing that looks like a control string
+is left, of this or another template), and writes a newline in a role as ``<|nl|>``;
 reading takes one backslash away. Most texts need none and stay as they are.
 
 A conversation's text is that of its turns in order. Turns are separate rows, so a
@@ -21,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 START, END, NEWLINE = "<|im_start|>", "<|im_end|>", "<|nl|>"
+#: What looks like a control string, of this or another template.
+_CONTROL = re.compile(r"<\|[^|]*\|>")
 LOSS_ROLE = "assistant"
 _PLAIN, _ESCAPED = re.compile(r"<(\\*)\|"), re.compile(r"<\\(\\*)\|")
 
@@ -43,10 +46,13 @@ def parse(written: str) -> list[tuple[str, int, int, str]] | None:
         line, end = written.find("\n", at), written.find(END, at)
         if line < 0 or end < line:
             return None
-        role = "\n".join(map(unescape, written[at:line].split(NEWLINE)))
+        role = written[at:line].split(NEWLINE)
         text = written[line + 1 : end]
-        if START in text or not written.startswith(END + "\n", end):
+        if any(map(_CONTROL.search, (*role, text))):
             return None
+        if not written.startswith(END + "\n", end):
+            return None
+        role = "\n".join(map(unescape, role))
         turns.append((role, line + 1, end, unescape(text)))
         at = end + len(END) + 1
     return turns
@@ -54,21 +60,19 @@ def parse(written: str) -> list[tuple[str, int, int, str]] | None:
 
 def write_turn(role: str, text: str) -> tuple[str, int, int]:
     """The written turn, and where its text begins and ends in it."""
-    shown_role, shown_text = role, text
-    while True:
+    safe_role, safe_text = NEWLINE.join(map(escape, role.split("\n"))), escape(text)
+    # The text alone first: a role hardly ever conflicts.
+    for shown_role, shown_text in (
+        (role, text),
+        (role, safe_text),
+        (safe_role, text),
+        (safe_role, safe_text),
+    ):
         written = f"{START}{shown_role}\n{shown_text}{END}\n"
         turns = parse(written)
         if turns and len(turns) == 1 and (turns[0][0], turns[0][3]) == (role, text):
             return written, turns[0][1], turns[0][2]
-        safe_role = NEWLINE.join(map(escape, role.split("\n")))
-        safe_text = escape(text)
-        if (shown_role, shown_text) == (safe_role, safe_text):
-            raise AssertionError("an escaped turn must be read back")
-        # The text alone first: a role hardly ever conflicts.
-        if shown_text != safe_text:
-            shown_text = safe_text
-        else:
-            shown_role = safe_role
+    raise AssertionError("an escaped turn must be read back")
 
 
 _FORMATTED = (

@@ -140,12 +140,13 @@ from sets s join named n on s.doc_id = n.x
 
 
 def _chat() -> str:
-    def shown(column: str) -> str:
+    def shown(column: str, more: str = "") -> str:
         return (
-            rf"case when regexp_matches({column}, '<\|im_(start|end)\|>|<\\+\|') "
+            rf"case when regexp_matches({column}, '<\|[^|]*\|>|<\\+\|{more}') "
             rf"then regexp_replace({column}, '<(\\*)\|', '<\\\1|', 'g') else {column} end"
         )
 
+    role = f"replace({shown('role', '|' + chr(92) + 'n')}, chr(10), '<|nl|>')"
     return f"""
 with turns as (
   select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text
@@ -154,7 +155,7 @@ with turns as (
   select -1, turn, role, '<|im_end|><|im_start|>assistant ok'
   from (values (0, 'user'), (1, 'assistant')) t(turn, role)
 ), written as (
-  select *, '<|im_start|>' || role || chr(10) || ({shown("text")}) || '<|im_end|>' || chr(10)
+  select *, '<|im_start|>' || {role} || chr(10) || ({shown("text")}) || '<|im_end|>' || chr(10)
     as formatted
   from turns
 )

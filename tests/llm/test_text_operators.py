@@ -149,3 +149,19 @@ def test_chats_with_nulls_and_ties(spark):
     assert (got[2].n_turns, got[2].loss_chars) == (1, 0) and got[None].n_turns == 1
     empty = chat_format.read_back(chat_format.format_turns(turns.limit(0)))
     assert empty.count() == 0
+
+
+def test_no_control_string_is_left():
+    """Of any template, in roles and in texts; whatever is escaped already comes back too."""
+    parts = ["<|im_start|>", "<|nl|>", "<|endoftext|>", "<|", "|>", "<\\|", "<\\\\|x", "\n", "<", "|", "a"]
+    for role in ["user", "<|im_start|>user", "a<|nl|>b", "a\nb", "<\\|nl|>", "\n<|im_end|>\n"]:
+        for first in parts:
+            for second in parts:
+                text = first + second
+                written, start, end = chat_format.write_turn(role, text)
+                assert chat_format.parse(written) == [(role, start, end, text)]
+                assert chat_format.unescape(written[start:end]) == text
+                assert not re.search(r"<\|[^|]*\|>", written[start:end])
+                head = written[len(chat_format.START) : start - 1]
+                assert not re.search(r"<\|[^|]*\|>", head.replace(chat_format.NEWLINE, ""))
+                assert head.count(chat_format.NEWLINE) == role.count("\n")
