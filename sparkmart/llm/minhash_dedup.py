@@ -10,9 +10,12 @@ is its ``SKETCH`` smallest values.
    probability (1 - s)^INDEXED at most, below 4e-7 for s = 0.75. So the lists of
    those values alone make the groups that are compared. Lists with the same
    members are compared once.
-4. Within a group, sketch overlaps filter, and full sets confirm. A list too large
-   for a task is dealt out in blocks, each pair of blocks to a task. Only edges
-   that span what is connected leave a task, never all pairs of a group.
+4. Within a group, the sketch of a pair's union filters: up to the lower of the two
+   sketches' largest values, all values of both sets are known, at least as many as a
+   sketch holds, and the share of them that both sets have estimates the similarity.
+   Full sets confirm. A list too large for a task is dealt out in blocks, each pair of
+   blocks to a task. Only edges that span what is connected leave a task, never all
+   pairs of a group.
 
 ``MARGIN`` standard deviations below the expected overlap is where filters on
 sketches cut (a chance of some 1e-7 for a pair at the threshold).
@@ -134,6 +137,21 @@ def _intersections(items: np.ndarray, owner: np.ndarray, rows: int) -> np.ndarra
     return total
 
 
+def _union_estimate(
+    sketches: list[np.ndarray], whole: np.ndarray, overlap: np.ndarray
+) -> np.ndarray:
+    """How many values of each pair's union are known: those up to where both sketches reach.
+
+    ``whole``: which sketches hold all of their set, and so reach to the end.
+    """
+    reach = np.array([s[-1] if len(s) else 0 for s in sketches], np.uint64)
+    reach[whole] = ~np.uint64(0)
+    known = np.empty((len(sketches), len(sketches)), np.float32)
+    for row, values in enumerate(sketches):
+        known[row] = np.searchsorted(values, reach, "right")
+    return known + known.T - overlap
+
+
 def _group_links(
     items: np.ndarray, bounds: np.ndarray, sketch: int, similarity: tuple[int, int]
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -143,9 +161,13 @@ def _group_links(
     rank = np.arange(len(items)) - bounds[:-1][owner]
     low = rank < sketch
     overlap = _intersections(items[low], owner[low], len(sizes))
-    need = _enough(sizes, sketch, similarity[0] / similarity[1]).astype(np.float32)
-    maybe = overlap >= np.minimum(need[:, None], need[None, :])
-    del overlap
+    values = items.view(np.uint64)
+    sketches = [values[a : min(b, a + sketch)] for a, b in zip(bounds, bounds[1:], strict=False)]
+    union = _union_estimate(sketches, sizes <= sketch, overlap)
+    near = similarity[0] / similarity[1]
+    spread = MARGIN * np.sqrt(union * near * (1 - near))
+    maybe = (overlap > 0) & (overlap >= np.floor(union * near - spread))
+    del overlap, union, spread
     np.fill_diagonal(maybe, False)
     rows = np.flatnonzero(maybe.any(axis=1))
     if not len(rows):

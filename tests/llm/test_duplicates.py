@@ -112,6 +112,26 @@ def test_near_duplicates_of_odd_documents(spark):
     assert minhash_dedup.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_union_sketches_estimate_the_similarity():
+    """The known part of a union is that of its smallest values, and holds a sketch at least."""
+    rng = np.random.default_rng(6)
+    base = rng.integers(0, 2**63, 400, dtype=np.uint64) * np.uint64(2)
+    sets = [np.unique(rng.choice(base, n, replace=False)) for n in (3, 20, 32, 33, 200, 390, 390)]
+    k = minhash_dedup.SKETCH
+    sketches = [s[:k] for s in sets]
+    overlap = np.array([[len(np.intersect1d(a, b)) for b in sketches] for a in sketches])
+    union = minhash_dedup._union_estimate(sketches, np.array([len(s) <= k for s in sets]), overlap)
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            both = np.union1d(a, b)
+            n = int(union[i, j])
+            assert n >= min(k, len(both))
+            smallest = both[:n]
+            known = np.isin(smallest, a) & np.isin(smallest, b)
+            assert known.sum() == overlap[i, j]
+    assert overlap[5, 6] / union[5, 6] == pytest.approx(0.95, abs=0.05)
+
+
 def vectors(seed=3):
     rng = np.random.default_rng(seed)
     out = [rng.normal(size=32) for _ in range(150)]
