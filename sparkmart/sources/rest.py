@@ -9,10 +9,12 @@ service half-way through a job.
 from __future__ import annotations
 
 import json
+import sys
 import uuid
 from collections.abc import Iterator, Mapping, Sequence
 from urllib.request import Request, urlopen
 
+from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +23,9 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 FORMAT = "rest_records"
 
+# Workers get the data source by value, so they need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 class _Call(InputPartition):
     def __init__(self, table: str, url: str):
