@@ -1,17 +1,18 @@
 """Benchmark decontamination by a prefix-filtered set join, in DataFrame operations.
 
 A benchmark item is cut into windows of ``WINDOW`` words (a shorter item is one window).
-A window is the sequence of its shingles of ``SHINGLE`` words; it occurs in a document
-where all of them stand in their places.
-
-1. One pass over the documents finds every place whose shingle is in some window.
-2. Shingles are ordered by how rare they are in all documents. A window that lies wholly
-   in a document has all its shingles there, so its rarest one is a sufficient prefix:
-   only places of that one make candidates, as far as the window fits between the
-   document's first and last word.
-3. A candidate is verified shingle by shingle at every place of its window.
-
-Shingles are compared by 64-bit hashes, a window of ten words by eight of them.
+Shingles are runs of ``SHINGLE`` words (of all words, in a shorter window).
+
+1. One pass over the documents counts how often each shingle of the windows occurs, which
+   orders the shingles by rarity.
+2. A window that lies wholly in a document has all its shingles there, so its rarest one
+   is a sufficient prefix. A second pass joins the documents with these prefixes alone;
+   windows with a shingle that no document has are left out.
+3. A place of a prefix gives the place of its window, which has to lie between the
+   document's first and last word (length and position bounds).
+4. There the document's words are compared with the window's, one by one.
+
+Hashes of shingles only find candidates; words decide.
 """
 
 from __future__ import annotations
@@ -34,18 +35,15 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(lower, _BETWEEN), "")
 
 
-def _shingles(words: Column, n: int, count: Column) -> Column:
-    """Hashes of all runs of n words; ``count``: how many words there are."""
-    firsts = F.slice(words, F.lit(1), F.greatest(count - (n - 1), F.lit(0)))
-    return F.transform(
-        firsts, lambda w, i: F.xxhash64(F.lit(n), w, *(F.get(words, i + k) for k in range(1, n)))
-    )
+def _shingle(words: Column, at: Column, n: int) -> Column:
+    """A hash of the n words from ``at`` on; at the end of a text, of those that are left."""
+    return F.xxhash64(F.lit(n), *(F.get(words, at + k) for k in range(n)))
 
 
 def benchmark_windows(items: DataFrame, window: int, shingle: int) -> DataFrame:
     """(item_id, window, length, elements): the windows of all items.
 
-    ``window`` names a window by its words, ``elements`` are its shingles in order.
+    ``window`` are its words, joined by spaces; ``elements`` are its shingles in order.
     """
     words = items.select("item_id", words_of(F.col("text")).alias("words"))
     n = F.size("words")
@@ -54,59 +52,71 @@ def benchmark_windows(items: DataFrame, window: int, shingle: int) -> DataFrame:
         lambda i: F.slice("words", i + 1, F.lit(window)),
     )
     length = F.size("cut")
-    elements = F.when(length >= shingle, _shingles(F.col("cut"), shingle, length))
+
+    def runs(k: int) -> Column:
+        firsts = F.sequence(F.lit(0), length - k)
+        return F.transform(firsts, lambda i: _shingle(F.col("cut"), i, k))
+
+    elements = F.when(length >= shingle, runs(shingle))
     for k in range(1, shingle):
-        elements = elements.when(length == k, _shingles(F.col("cut"), k, length))
+        elements = elements.when(length == k, runs(k))
     return (
         words.where(n > 0)
         .select("item_id", F.explode(cut).alias("cut"))
-        .select("item_id", length.alias("length"), elements.alias("elements"))
-        .withColumn("window", F.xxhash64("length", "elements"))
+        .select(
+            "item_id",
+            F.array_join("cut", " ").alias("window"),
+            length.alias("length"),
+            elements.alias("elements"),
+        )
     )
 
 
-def _places(docs: DataFrame, known: DataFrame, sizes: list[int]) -> DataFrame:
-    """(row, doc_id, text_hash, n_words, place, element) of known shingles, and one without place.
+def _runs(docs: DataFrame, sizes: list[int]) -> DataFrame:
+    """(row, doc_id, text_hash, words, n_words, at, element): shingles in their places.
 
-    ``row`` tells rows of the documents apart, also those that share an id. It is drawn
-    when the table is written, and only then.
+    Each row of ``docs`` also has a line with ``at`` and ``element`` null. ``row`` tells
+    rows apart, also those that share an id; it holds within one run of a plan.
     """
-    tokens = docs.select(
-        F.monotonically_increasing_id().alias("row"),
-        "doc_id",
-        F.xxhash64("text").alias("text_hash"),
-        words_of(F.col("text")).alias("words"),
-    ).withColumn("n_words", F.size("words"))
-    every = None
-    for n in sizes:
-        runs = _shingles(F.col("words"), n, F.col("n_words"))
-        # The first list has at its head a hash that stands for the row itself.
-        head = F.array(F.lit(0).cast("bigint"))
-        part = tokens.select(
-            *("row", "doc_id", "text_hash", "n_words"),
-            F.posexplode(F.concat(head, runs)).alias("at", "element"),
+    at = F.col("line") - 1
+    elements = [_shingle(F.col("words"), at, n) for n in sizes]
+    line = F.col("line") > 0
+    # No lambdas here, so all this is compiled as one, up to the join that follows.
+    lines = (
+        docs.select(
+            F.monotonically_increasing_id().alias("row"),
+            "doc_id",
+            F.xxhash64("text").alias("text_hash"),
+            words_of(F.col("text")).alias("words"),
         )
-        every = part if every is None else every.union(part.where("at > 0"))
-    return (
-        every.join(known.withColumn("known", F.lit(True)), "element", "left")
-        .where("known or at = 0")
+        .withColumn("n_words", F.size("words"))
+        # Never empty; "outer" keeps Spark from filtering by its size, which would
+        # split a text twice.
+        .withColumn("all", F.concat(F.array(F.lit("")), "words"))
         .select(
-            "row",
-            "doc_id",
-            "text_hash",
-            F.col("n_words").cast("bigint").alias("n_words"),
-            F.when(F.col("at") > 0, F.col("at") - 1).alias("place"),
-            "element",
+            *("row", "doc_id", "text_hash", "words", "n_words"),
+            F.posexplode_outer("all").alias("line", "word"),
         )
     )
+    names = ["row", "doc_id", "text_hash", "words", "n_words", F.when(line, at).alias("at")]
+    if len(elements) < 2:
+        only = elements[0] if elements else F.lit(None).cast("bigint")
+        return lines.select(*names, F.when(line, only).alias("element"))
+    none = F.array(F.lit(None).cast("bigint"))
+    each = F.when(line, F.array(*elements)).otherwise(none)
+    return lines.select(*names, F.explode_outer(each).alias("element"))
 
 
-def _rarest(windows: DataFrame, places: DataFrame) -> DataFrame:
-    """(window, length, element, offset): each window's prefix.
-
-    Windows with a shingle that no document has are left out.
-    """
-    often = places.groupBy("element").agg(F.count("*").alias("often"))
+def _prefixes(windows: DataFrame, runs: DataFrame) -> DataFrame:
+    """(element, offset, length, window): each window's rarest shingle, and where it stands."""
+    known = windows.select(F.explode("elements").alias("element")).distinct()
+    often = (
+        runs.where("at is not null")
+        .select("element")
+        .join(bounded(known), "element")
+        .groupBy("element")
+        .agg(F.count("*").alias("often"))
+    )
     return (
         windows.select(
             "window", "length", F.size("elements").alias("n"), F.posexplode("elements")
@@ -119,36 +129,41 @@ def _rarest(windows: DataFrame, places: DataFrame) -> DataFrame:
             F.min(F.struct("often", "element", "offset")).alias("least"),
         )
         .where("found = n")
-        .select("window", "length", "least.element", "least.offset")
+        .select("least.element", "least.offset", "length", "window")
     )
 
 
-def _occurrences(windows: DataFrame, places: DataFrame) -> DataFrame:
-    """(row, start, window, length) of every window's occurrences."""
-    candidates = (
-        places.join(bounded(_rarest(windows, places)), "element")
-        .withColumn("start", F.col("place") - F.col("offset"))
-        .where("start >= 0 and start + length <= n_words")
-        .select("row", "start", "window", "length")
-    )
-    due = candidates.join(
-        bounded(windows.select("window", "elements")), "window"
-    ).select(
-        "row",
-        "start",
-        "window",
-        "length",
-        F.size("elements").alias("n"),
-        F.posexplode("elements").alias("offset", "element"),
+def _occurrences(runs: DataFrame, prefixes: DataFrame, reach: int) -> DataFrame:
+    """(row, doc_id, text_hash, n_words, start, length, window) of windows in the documents.
+
+    A line with ``start`` null stands for each row of the documents.
+    """
+    names = ["row", "doc_id", "text_hash", "n_words"]
+    first = F.greatest(F.col("at") - reach, F.lit(0))
+    near = F.slice("words", first + 1, F.lit(2 * reach + 1))
+    found = F.col("window").isNotNull()
+    marked = bounded(prefixes)
+    if marked is prefixes:
+        # Shuffled: a line takes along only the words that a window could cover.
+        runs = runs.select(*names, "at", "element", near.alias("words"))
+        inside = F.col("start") - first
+    else:
+        inside = F.col("start")
+    fits = F.col("at").isNull() | (
+        (F.col("start") >= 0) & (F.col("start") + F.col("length") <= F.col("n_words"))
     )
-    there = places.select("row", "place", "element")
+    same = F.array_join(F.slice("words", inside + 1, F.col("length")), " ") == F.col("window")
     return (
-        due.withColumn("place", F.col("start") + F.col("offset"))
-        .join(there, ["row", "place", "element"])
-        .groupBy("row", "start", "window", "length", "n")
-        .agg(F.count("*").alias("found"))
-        .where("found = n")
-        .select("row", "start", "window", "length")
+        runs.join(marked, "element", "left")
+        .where(F.col("at").isNull() | found)
+        .withColumn("start", F.col("at") - F.col("offset"))
+        .where(fits)
+        .where(F.col("at").isNull() | same)
+        .select(
+            *("row", "doc_id", "text_hash"),
+            F.col("n_words").cast("bigint").alias("n_words"),
+            *("start", "length", "window"),
+        )
     )
 
 
@@ -171,16 +186,16 @@ def contamination(
     """
     cut = stored(benchmark_windows(items, window, shingle), "windows")
     windows = cut.select("window", "length", "elements").dropDuplicates(["window"])
-    known = windows.select(F.explode("elements").alias("element")).distinct()
     sizes = sorted(
         r[0]
         for r in windows.select(
             F.least(F.col("length"), F.lit(shingle)).alias("n")
         ).distinct().collect()
     )
-    table = stored(_places(docs, bounded(known), sizes or [shingle]), "places")
-    places = table.where("place is not null")
-    found = stored(_occurrences(windows, places), "occurrences")
+    runs = _runs(docs, sizes)
+    prefixes = stored(_prefixes(windows, runs), "prefixes")
+    table = stored(_occurrences(runs, prefixes, window - 1), "occurrences")
+    found = table.where("start is not null")
 
     # Words of overlapping occurrences count once.
     ends = F.max("end").over(
@@ -208,7 +223,7 @@ def contamination(
     )
     none = F.array().cast("array<string>")
     return (
-        table.where("place is null")
+        table.where("start is null")
         .join(hit, "row", "left")
         .join(named, "row", "left")
         .withColumn("items", F.coalesce("items", none))

@@ -246,7 +246,7 @@ def brute_contamination(docs, items):
     return sorted(out, key=repr)
 
 
-def test_contamination(spark):
+def passages():
     rng = random.Random(9)
     some = [f"k{i}" for i in range(12)]
     text = lambda n: " ".join(rng.choice(some) for _ in range(n))
@@ -255,12 +255,51 @@ def test_contamination(spark):
     docs = [(i, text(rng.randint(0, 60))) for i in range(60)]
     docs += [(100 + i, f"{text(5)} {p.upper()}! {text(5)}") for i, (_, p) in enumerate(items[:8])]
     docs += [(1, None), (1, items[7][1]), (None, items[6][1] + " x"), (2, "")]
+    return docs, items
+
+
+def contaminated(spark, docs, items):
     got = decontamination.contamination(
         frames.clashing(spark.createDataFrame(docs, "doc_id long, text string")),
         frames.clashing(spark.createDataFrame(items, "item_id long, text string")),
     )
-    fields = ["doc_id", "n_words", "n_hit", "n_items", "contaminated"]
-    assert frames.rows(got.select(fields)) == brute_contamination(docs, items)
+    return frames.rows(got.select("doc_id", "n_words", "n_hit", "n_items", "contaminated"))
+
+
+def test_contamination(spark):
+    docs, items = passages()
+    assert contaminated(spark, docs, items) == brute_contamination(docs, items)
+
+
+def test_contamination_shuffled(spark, monkeypatch):
+    """More prefixes than may be broadcast."""
+    docs, items = passages()
+    monkeypatch.setattr(decontamination, "bounded", lambda df: df)
+    assert contaminated(spark, docs, items) == brute_contamination(docs, items)
+
+
+def test_words_decide_contamination(spark, monkeypatch):
+    """Hashes that often collide change nothing."""
+    docs, items = passages()
+    exact = decontamination._shingle
+    monkeypatch.setattr(
+        decontamination, "_shingle", lambda words, at, n: F.pmod(exact(words, at, n), F.lit(3))
+    )
+    assert contaminated(spark, docs, items) == brute_contamination(docs, items)
+
+
+def test_only_the_rarest_shingle_is_joined(spark):
+    docs = spark.createDataFrame(
+        [(1, "a b c d a b c d b c d x y z"), (2, "b c d e f")], "doc_id long, text string"
+    )
+    items = spark.createDataFrame([(1, "a b c d b"), (2, "b c d e f g")], "item_id long, text string")
+    windows = decontamination.benchmark_windows(items, 10, 3).drop("item_id")
+    runs = decontamination._runs(docs, [3])
+    got = decontamination._prefixes(windows, runs)
+    # "b c d" is in both items, "c d b" occurs once, and no document has "e f g".
+    assert [tuple(r) for r in got.drop("element").collect()] == [(2, 5, "a b c d b")]
+    joined = decontamination._occurrences(runs, got, 9).where("start is not null")
+    assert [tuple(r) for r in joined.select("doc_id", "start").collect()] == [(1, 4)]
 
 
 def test_contamination_without_rows(spark):
