@@ -1,7 +1,7 @@
 """Record arrays behind REST endpoints.
 
-One Spark partition per request (an endpoint or one page of it). The fetched
-records are landed as JSON lines before anything reads them: a task that runs
+One Spark partition per request (an endpoint or one page of it), or per run of
+requests where there are many. The fetched records are landed as JSON lines before anything reads them: a task that runs
 again after an executor was lost must not see a different answer from the
 service half-way through a job.
 """
@@ -22,16 +22,18 @@ from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 FORMAT = "rest_records"
+#: A partition makes up to ``CALLS`` requests one after another, as long as there are
+#: ``SPREAD`` partitions; its records are never held beyond one response.
+CALLS, SPREAD = 32, 64
 
 # Workers get the data source by value, so they need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-class _Call(InputPartition):
-    def __init__(self, table: str, url: str):
-        super().__init__((table, url))
-        self.table = table
-        self.url = url
+class _Calls(InputPartition):
+    def __init__(self, calls: Sequence[tuple[str, str]]):
+        super().__init__(calls)
+        self.calls = calls
 
 
 class _RecordReader(DataSourceReader):
@@ -39,23 +41,40 @@ class _RecordReader(DataSourceReader):
         self.calls = calls
         self.timeout = timeout
 
+    def __getstate__(self) -> dict:
+        # The reader goes to every task, which needs the calls of its partition alone.
+        return self.__dict__ | {"calls": ()}
+
     def partitions(self) -> Sequence[InputPartition]:
-        return [_Call(table, url) for table, url in self.calls]
+        size = max(1, min(CALLS, len(self.calls) // SPREAD))
+        return [
+            _Calls(self.calls[k : k + size]) for k in range(0, len(self.calls), size)
+        ]
 
     def read(self, partition: InputPartition) -> Iterator[tuple[str, str]]:
-        request = Request(partition.url, headers={"Accept": "application/json"})
+        for table, url in partition.calls:
+            for record in self._records(url):
+                yield table, json.dumps(record, ensure_ascii=False)
+
+    def _records(self, url: str) -> list:
+        request = Request(url, headers={"Accept": "application/json"})
         # urlopen raises on an HTTP error status, which fails the task.
         with urlopen(request, timeout=self.timeout) as response:
             payload = json.load(response)
         if not isinstance(payload, list):
-            raise ValueError(f"{partition.url} did not return an array of records")
-        for record in payload:
-            yield partition.table, json.dumps(record, ensure_ascii=False)
+            raise ValueError(f"{url} did not return an array of records")
+        return payload
 
 
 class RestRecords(DataSource):
     """``(table, record)`` rows; ``record`` is one element as a JSON text."""
 
+    planned = False
+
+    def __getstate__(self) -> dict:
+        # Spark sends the source to every task along with its reader.
+        return self.__dict__ | ({"options": {}} if self.planned else {})
+
     @classmethod
     def name(cls) -> str:
         return FORMAT
@@ -65,6 +84,7 @@ class RestRecords(DataSource):
 
     def reader(self, schema: T.StructType) -> DataSourceReader:
         calls = [tuple(call) for call in json.loads(self.options["calls"])]
+        self.planned = True
         return _RecordReader(calls, float(self.options.get("timeout", "60")))
 
 

@@ -109,3 +109,20 @@ def test_one_empty_endpoint_does_not_stop_the_others(spark, service, tmp_path):
     )
     assert frames["b"].schema == schema and frames["b"].count() == 0
     assert frames["a"].count() == 3
+
+
+def test_many_calls_share_tasks(spark, service, tmp_path):
+    def sent(n):
+        calls = [["t", f"{service}/todos?page={k}"] for k in range(n)]
+        source = rest.RestRecords({"calls": json.dumps(calls)})
+        reader = source.reader(source.schema())
+        parts = reader.partitions()
+        assert [list(c) for p in parts for c in p.calls] == calls
+        return len(parts), len(rest.cloudpickle.dumps((source, reader)))
+
+    assert sent(40)[0] == 40
+    few, many = sent(64), sent(6400)
+    assert few[0] == 64 and many[0] == 200
+    assert abs(many[1] - few[1]) < 200  # a task gets no other task's calls
+    df = rest.fetch(spark, service, ["/todos", "/page2"] * 100, str(tmp_path / "land"))
+    assert df.count() == 800
