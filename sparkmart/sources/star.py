@@ -195,7 +195,8 @@ def rest_pages(
         .agg(F.array_sort(F.collect_list("entry")).alias("entries"))
         .select("page", F.to_json("entries.record").alias("value"))
     )
-    pages.write.partitionBy("page").text(f"{folder}/full")
+    # A file for each row, in one folder: a folder for each page takes most of the time.
+    pages.select("value").write.option("maxRecordsPerFile", 1).text(f"{folder}/full")
     spark = records.sparkSession
     spark.createDataFrame([("[]",)], "value string").write.text(f"{folder}/empty")
     written = (
@@ -204,9 +205,8 @@ def rest_pages(
         .load(folder)
         .filter("length > 0")
         .select("path")
-        .orderBy("path")
     )
-    return [row.path for row in written.collect()]
+    return sorted(row.path for row in written.collect())
 
 
 def malformed_csv(orders: DataFrame, folder: str, size: int = 5000) -> None:

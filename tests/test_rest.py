@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import json
+from urllib.request import urlopen
 
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import types as T
 
 from sparkmart.plans import pipeline
-from sparkmart.sources import rest
+from sparkmart.sources import rest, star
 from sparkmart.sources.delimited import read_csv
 
 USERS = [
@@ -126,3 +127,15 @@ def test_many_calls_share_tasks(spark, service, tmp_path):
     assert abs(many[1] - few[1]) < 200  # a task gets no other task's calls
     df = rest.fetch(spark, service, ["/todos", "/page2"] * 100, str(tmp_path / "land"))
     assert df.count() == 800
+
+
+def test_pages_are_files_of_one_folder(spark, tmp_path):
+    records = spark.range(2500).selectExpr("id", "id * 2 as twice")
+    pages = star.rest_pages(records, "id", f"file://{tmp_path}/pages")
+    assert len({page.rpartition("/")[0] for page in pages}) == 2  # with that of the empty page
+    held = [json.loads(urlopen(page).read()) for page in pages]
+    assert sorted(len(page) for page in held) == [0, 500, 1000, 1000]
+    for page in held:
+        assert [r["id"] for r in page] == sorted(r["id"] for r in page)
+        assert len({r["id"] // 1000 for r in page}) <= 1
+    assert sorted(r["twice"] for page in held for r in page) == list(range(0, 5000, 2))
