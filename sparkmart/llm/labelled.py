@@ -1,4 +1,4 @@
-"""Labelled training rows: a bounded sample, the same in every run."""
+"""Labelled training rows: all of them, or a bounded sample that is the same in every run."""
 
 from __future__ import annotations
 
@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparkmart.llm.tables import bounded
+
 
 def held_out(doc_id: str | Column, parts: int, part: int) -> Column:
     """Whether a document is kept from training: crc32 of its id as text, by remainder."""
@@ -46,6 +48,30 @@ def sample(
     )
 
 
+def rows(
+    docs: DataFrame, labels: DataFrame, label: str, parts: int, part: int
+) -> DataFrame:
+    """(place, label, lang, text) of all documents with label 0 or 1 that may be learned from.
+
+    Held-out, null and other labels are left out. Of a repeated id, one row is taken for each
+    label that it has: that with the least text. ``place`` is a hash of id and label.
+    """
+    usable = (
+        labels.select(F.col("doc_id").alias("_id"), F.col(label).cast("int").alias("label"))
+        .where(F.col("_id").isNotNull() & ~held_out("_id", parts, part))
+        .where(F.col("label").isin(0, 1))
+        .distinct()
+    )
+    row = F.struct(F.col("text").isNull().alias("none"), "text", "lang")
+    return (
+        docs.select(F.col("doc_id").alias("_doc"), "text", "lang")
+        .join(bounded(usable), F.col("_doc") == F.col("_id"))
+        .groupBy("_id", "label")
+        .agg(F.min(row).alias("row"))
+        .select(F.xxhash64("_id", "label").alias("place"), "label", "row.lang", "row.text")
+    )
+
+
 def shares(labels: DataFrame, label: str, parts: int, part: int) -> tuple[int, int]:
     """How many rows that may be learned from have label 0 and label 1."""
     usable = labels.where(F.col("doc_id").isNotNull() & ~held_out("doc_id", parts, part))

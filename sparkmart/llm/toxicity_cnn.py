@@ -8,13 +8,19 @@ bucket answers only to the word (or stem) it was learned for, told by a second h
 else a rare word of a long text would sooner or later land in a learned bucket.
 
 The score's place of decision is calibrated by language, as told from the text alone:
-log odds are shifted so that ``THRESHOLD`` is where that language's documents, of a part of
-the sample that the filters do not learn from, are parted best.
+log odds are shifted so that ``THRESHOLD`` is where that language's documents, of a part
+that the filters do not learn from, are parted best.
+
+All labelled documents that are not held out are learned from. Words are counted by an
+aggregate. Filters are learned in rounds: documents are dealt out anew to shards, each
+shard goes on from the same weights, and the mean of what they come to begins the next
+round. Languages are told by the mean features of their documents, which are sums, and
+places of decision come from counts by language and log odds.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -24,22 +30,29 @@ from pyspark.sql import functions as F
 
 from sparkmart.llm import labelled, language_id, shingles, text_bytes
 from sparkmart.llm.optimiser import Adam, sigmoid
+from sparkmart.llm.tables import stored
 
 THRESHOLD = 0.3
-#: Bounds of the sample that is learned from: documents per label, and bytes of one.
-PER_LABEL = 1500
-LONGEST = 1 << 16
 PARTS, HELD_OUT = 4, 2
 STEM = 5
 BUCKETS = 1 << 16
 #: A word or stem gets a bucket if so many training documents hold it, and labels
 #: depend on it by a likelihood-ratio statistic of so much (chance gives 2 in 10,000).
 LEAST_DOCS, LEAST_RATIO = 3, 14.0
+#: What a document that holds it adds to that statistic, at least: of many documents, also
+#: words that merely go along with long texts pass the test.
+LEAST_GAIN = 0.02
 CALIBRATE = 5
 SIZE, FILTERS, WIDTHS = 8, 8, (1, 2, 3)
 EPOCHS, BATCH, RATE, DECAY = 12, 32, 1e-2, 1e-4
-#: A small sample is gone through more often, for as many steps at least.
+#: Few documents are gone through more often, for as many steps at least.
 STEPS = 1200
+ROUNDS = 6
+#: Documents of a shard, which is larger if it would have too few of the rarer label.
+SHARD, LEAST_RARE = 8192, 64
+#: Steps of a log odd, and of weights and features where they are summed: whole numbers
+#: add up to the same in any order.
+PLACES, UNIT = 1000, 1 << 24
 #: Documents of a language that its own place of decision is worth.
 PRIOR_DOCS = 20
 _ROWS = 512
@@ -77,34 +90,78 @@ def _buckets(keys: np.ndarray, owners: tuple[np.ndarray, np.ndarray]) -> np.ndar
     return out
 
 
-def _likelihood_ratio(held: np.ndarray, docs: np.ndarray) -> np.ndarray:
-    """How far labels depend on a word; ``held``: documents of each label that hold it."""
-    both = np.stack([held, docs - held], axis=2).astype(float)
-    expected = both.sum(1, keepdims=True) * docs[None, :, None] / docs.sum()
-    ratio = np.where(both > 0, both, 1) / np.where(both > 0, expected, 1)
-    return 2 * (both * np.log(ratio)).sum(axis=(1, 2))
+def squeezed(ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of texts with no more unknown words in a row than any filter can tell.
 
+    Behind ``max(WIDTHS)`` of them further ones bring no window that is not there already.
+    """
+    known = ids.any(axis=1)
+    at = np.arange(len(ids))
+    begin = np.concatenate([[0], np.cumsum(counts)])
+    # Unknown words in a row up to here, counted from a known word or the text's begin.
+    last = np.maximum.accumulate(np.where(known, at, -1)) if len(ids) else at
+    run = at - np.maximum(last, np.repeat(begin[:-1], counts) - 1)
+    kept = known | (run <= max(WIDTHS))
+    total = np.concatenate([[0], np.cumsum(kept)])
+    return ids[kept], np.diff(total[begin])
+
+
+def _held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many texts of each label hold a word (kind 0) or stem (1), block by block."""
+    for batch in batches:
+        for block in text_bytes.blocks(batch.column("text"), block_rows=_ROWS):
+            label = batch.column("label").slice(block.first, block.rows).to_numpy()
+            keys, counts = word_keys(block.data, block.offsets)
+            doc = np.repeat(np.arange(block.rows), counts)
+            for kind in range(2):
+                order = np.lexsort((doc, keys[:, kind]))
+                key, of = keys[order, kind], doc[order]
+                new = np.ones(len(key), bool)
+                new[1:] = (key[1:] != key[:-1]) | (of[1:] != of[:-1])
+                values, which = np.unique(key[new], return_inverse=True)
+                toxic = np.bincount(which, label[of[new]] == 1, len(values)).astype(np.int64)
+                docs = np.bincount(which, minlength=len(values))
+                yield pa.record_batch(
+                    [
+                        pa.array(np.full(len(values), kind, np.int32)),
+                        pa.array(values.view(np.int64)),
+                        pa.array(docs - toxic),
+                        pa.array(toxic),
+                    ],
+                    names=["kind", "key", "clean", "toxic"],
+                )
 
-def _owners(keys: list[np.ndarray], y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    out = []
-    for k in range(2):
-        seen = [np.unique(doc[:, k]) for doc in keys] or [np.empty(0, np.uint64)]
-        values, which = np.unique(np.concatenate(seen), return_inverse=True)
-        label = np.repeat(y.astype(int), [len(s) for s in seen]) if keys else which
-        held = np.stack(
-            [np.bincount(which[label == v], minlength=len(values)) for v in (0, 1)], axis=1
-        )
-        docs = np.array([(y == 0).sum(), (y == 1).sum()])
-        telling = held.sum(1) >= LEAST_DOCS
-        if docs.all():
-            telling &= _likelihood_ratio(held, docs) >= LEAST_RATIO
-        order = np.argsort(held.sum(1), kind="stable")  # the most frequent stay
-        often = values[order][telling[order]]
-        owner = np.zeros(BUCKETS, np.uint64)
-        owner[(often % _U(BUCKETS)).astype(np.int64)] = often
-        owner[0] = 0
-        out.append(owner)
-    return out[0], out[1]
+
+def _owners(cases: DataFrame, clean: int, toxic: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of the words that labels depend on, the one held most often owns a bucket."""
+    held = (
+        cases.mapInArrow(_held, "kind int, key long, clean long, toxic long")
+        .groupBy("kind", "key")
+        .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+        .withColumn("n", F.col("clean") + F.col("toxic"))
+        .where(F.col("n") >= LEAST_DOCS)
+    )
+    ratio = F.lit(0.0)
+    for name, docs in (("clean", clean), ("toxic", toxic)):
+        for both, of in (
+            (F.col(name), F.col("n")),
+            (F.lit(docs) - F.col(name), F.lit(clean + toxic) - F.col("n")),
+        ):
+            expected = of * F.lit(docs / (clean + toxic))
+            ratio += F.when(both > 0, 2 * both * F.ln(both / expected)).otherwise(0.0)
+    found = (
+        held.where(ratio >= F.greatest(F.lit(LEAST_RATIO), LEAST_GAIN * F.col("n")))
+        .groupBy("kind", F.col("key").bitwiseAND(BUCKETS - 1).alias("bucket"))
+        .agg(F.max(F.struct("n", "key")).alias("most"))
+        .where(F.col("bucket") > 0)
+        .select("kind", "bucket", "most.key")
+        .toArrow()
+    )
+    kind, bucket, key = (found[c].to_numpy() for c in found.column_names)
+    owners = np.zeros(BUCKETS, np.uint64), np.zeros(BUCKETS, np.uint64)
+    for k, owner in enumerate(owners):
+        owner[bucket[kind == k]] = key[kind == k].view(np.uint64)
+    return owners
 
 
 def _convolve(e: np.ndarray, place: np.ndarray, w: dict[str, np.ndarray]) -> np.ndarray:
@@ -112,18 +169,42 @@ def _convolve(e: np.ndarray, place: np.ndarray, w: dict[str, np.ndarray]) -> np.
 
     At those zeros themselves the filters are 0, whatever text comes next.
     """
+    banks = [bank for width in WIDTHS for bank in w[f"filters{width}"]]
+    taps = np.zeros((len(e) + max(WIDTHS) - 1, len(banks) * FILTERS), np.float32)
+    taps[: len(e)] = e @ np.concatenate(banks, axis=1)
+    filtered = np.zeros((len(e), len(WIDTHS) * FILTERS), np.float32)
+    at = 0
+    for i, width in enumerate(WIDTHS):
+        part = filtered[:, i * FILTERS : (i + 1) * FILTERS]
+        for k in range(width):
+            part += taps[k : len(e) + k, at : at + FILTERS]
+            at += FILTERS
+    held = np.zeros(len(e), bool)
+    held[place] = True
+    filtered[~held] = 0
+    return filtered
+
+
+def _pooled(ids: np.ndarray, counts: np.ndarray, w: dict[str, np.ndarray]) -> np.ndarray:
+    """The largest value of each filter in each text.
+
+    What a filter makes of a word is looked up in tables over all words and stems, so it is
+    the same wherever the word stands, unlike in a product of all words of a block.
+    """
+    place, begin = _spaced(counts)
     reach = max(WIDTHS) - 1
-    padded = np.concatenate([e, np.zeros((reach, e.shape[1]), np.float32)])
     out = []
     for width in WIDTHS:
-        bank = w[f"filters{width}"]
-        y = e @ bank[0]
-        for k in range(1, width):
-            y += padded[k : len(e) + k] @ bank[k]
-        out.append(y)
-    filtered = np.zeros((len(e), sum(y.shape[1] for y in out)), np.float32)
-    filtered[place] = np.concatenate(out, axis=1)[place]
-    return filtered
+        values = np.zeros((begin[-1], FILTERS), np.float32)
+        for k, bank in enumerate(w[f"filters{width}"]):
+            tap = np.zeros((begin[-1] + reach, FILTERS), np.float32)
+            tap[place] = (w["words"] @ bank[:SIZE])[ids[:, 0]]
+            tap[place] += (w["stems"] @ bank[SIZE:])[ids[:, 1]]
+            values += tap[k : k + len(values)]
+        filtered = np.zeros_like(values)
+        filtered[place] = values[place]
+        out.append(np.maximum.reduceat(filtered, begin[:-1], axis=0))
+    return np.concatenate(out, axis=1)
 
 
 def _spaced(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -143,13 +224,11 @@ def _embed(ids: np.ndarray, counts: np.ndarray, w: dict) -> tuple[np.ndarray, ..
 
 
 def log_odds(ids: np.ndarray, counts: np.ndarray, w: dict[str, np.ndarray]) -> np.ndarray:
-    e, place, begin = _embed(ids, counts, w)
-    top = np.maximum.reduceat(_convolve(e, place, w), begin[:-1], axis=0)
-    return np.tanh(top + w["bias"]) @ w["score"] + w["score_bias"][0]
+    top = _pooled(ids, counts, w)
+    return (np.tanh(top + w["bias"]) * w["score"]).sum(axis=1) + w["score_bias"][0]
 
 
-def train_weights(docs: list[np.ndarray], y: np.ndarray, prior: float) -> dict:
-    """Fit on documents given as buckets; ``prior`` ends up in the score's bias."""
+def first_weights() -> dict[str, np.ndarray]:
     rng = np.random.default_rng(5)
 
     def normal(scale, *shape):
@@ -165,10 +244,25 @@ def train_weights(docs: list[np.ndarray], y: np.ndarray, prior: float) -> dict:
         "score_bias": np.zeros(1, np.float32),
     }
     w["words"][0] = w["stems"][0] = 0
+    return w
+
+
+def train_weights(
+    w: dict[str, np.ndarray], docs: list[np.ndarray], y: np.ndarray, epochs: int, seed: int
+) -> None:
+    """Go on from ``w``, in place, with documents of both labels given as buckets.
+
+    Each epoch takes every document of the more frequent label once and those of the other
+    as often as it takes to have as many.
+    """
+    rng = np.random.default_rng(seed)
+    n = FILTERS * len(WIDTHS)
     adam = Adam(w, RATE, DECAY)
-    epochs = max(EPOCHS, -(-STEPS * BATCH // max(1, len(docs))))
-    for _ in range(epochs if len(set(y.tolist())) == 2 else 0):
-        order = rng.permutation(len(docs))
+    rare, often = sorted((np.flatnonzero(y == v) for v in (0, 1)), key=len)
+    for _ in range(epochs):
+        again = [rng.permutation(rare) for _ in range(-(-len(often) // len(rare)))]
+        pairs = rng.permutation(often), np.concatenate(again)[: len(often)]
+        order = np.stack(pairs, axis=1).ravel()
         for low in range(0, len(order), BATCH):
             chosen = order[low : low + BATCH]
             ids = np.concatenate([docs[d] for d in chosen])
@@ -214,79 +308,208 @@ def train_weights(docs: list[np.ndarray], y: np.ndarray, prior: float) -> dict:
                 g[used == 0] = 0
                 rows[name], grads[name] = used, g
             adam.step(grads, rows)
-    w["score_bias"] += np.float32(prior)
-    return w
 
 
-def _best_place(odds: np.ndarray, y: np.ndarray, weigh: np.ndarray) -> float:
-    """The middle of the widest gap of those that leave the least weighed errors."""
+def _best_place(odds: np.ndarray, toxic: np.ndarray, clean: np.ndarray) -> float:
+    """The middle of the widest gap of those that leave the least errors; from counts."""
     if not len(odds):
         return 0.0
     values, which = np.unique(odds, return_inverse=True)
-    toxic = np.bincount(which, weigh * (y == 1), len(values))
-    clean = np.bincount(which, weigh * (y == 0), len(values))
+    toxic = np.bincount(which, toxic, len(values))
+    clean = np.bincount(which, clean, len(values))
     # Errors if the place is below values[0], between two values, or above the last.
     wrong = np.append(0, np.cumsum(toxic)) + clean.sum() - np.append(0, np.cumsum(clean))
     ends = np.concatenate([[values[0] - 1], values, [values[-1] + 1]])
-    least = wrong <= wrong.min() + 1e-9
-    gap = np.where(least, np.diff(ends), -1).argmax()
+    gap = np.where(wrong == wrong.min(), np.diff(ends), -1).argmax()
     return float((ends[gap] + ends[gap + 1]) / 2)
 
 
-def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for block in text_bytes.blocks(batch.column("text"), block_rows=_ROWS):
-            keys, counts = word_keys(block.data, block.offsets)
-            x = language_id.features(block.data, block.offsets).astype(np.float16)
-            ends = np.cumsum(counts)
+def _encoder(owners: tuple[np.ndarray, np.ndarray]):
+    """Each document as the buckets of its words, squeezed."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block in text_bytes.blocks(batch.column("text"), block_rows=_ROWS):
+                keys, counts = word_keys(block.data, block.offsets)
+                ids, counts = squeezed(_buckets(keys, owners), counts)
+                ids, ends = ids.astype(np.uint16), np.cumsum(counts)
+                words = [ids[e - c : e].tobytes() for e, c in zip(ends, counts, strict=True)]
+                yield pa.record_batch(
+                    [
+                        batch.column("place").slice(block.first, block.rows),
+                        batch.column("label").slice(block.first, block.rows),
+                        pa.array(words, pa.binary()),
+                    ],
+                    names=["place", "label", "words"],
+                )
+
+    return run
+
+
+def _sums(
+    read: Callable[[Iterator[pa.RecordBatch]], Iterator[tuple[str, np.ndarray]]],
+):
+    """The sum of the arrays of each name that ``read`` makes of a task's batches."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[str, np.ndarray] = {}
+        for name, part in read(batches):
+            total[name] = total[name] + part if name in total else part
+        if total:
             yield pa.record_batch(
                 [
-                    batch.column("label").slice(block.first, block.rows),
-                    pa.array(
-                        [keys[e - c : e].tobytes() for e, c in zip(ends, counts, strict=True)],
-                        pa.binary(),
-                    ),
-                    pa.array([row.tobytes() for row in x], pa.binary()),
+                    pa.array(list(total), pa.string()),
+                    pa.array([a.tobytes() for a in total.values()], pa.binary()),
                 ],
-                names=["label", "words", "runs"],
+                names=["name", "total"],
             )
 
+    return run
 
-def train(
-    keys: list[np.ndarray],
-    runs: np.ndarray,
-    y: np.ndarray,
-    language: language_id.Model,
-    shares: tuple[int, int],
-) -> tuple:
-    """Owners, weights and shifts, from documents given as word keys.
 
-    ``shares``: how many rows there are with labels 0 and 1.
-    """
-    # Every CALIBRATE-th document is not learned from but calibrates.
-    aside = np.arange(len(keys)) % CALIBRATE == 0
-    owners = _owners([k for k, out in zip(keys, aside, strict=True) if not out], y[~aside])
-    docs = [_buckets(k, owners) for k in keys]
-    clean, toxic = max(1, int((y == 0).sum())), max(1, int((y == 1).sum()))
-    prior = float(np.log((shares[1] + 1) / (shares[0] + 1) * clean / toxic))
-    if len(set(y.tolist())) < 2:
-        prior = float(np.log((shares[1] + 1) / (shares[0] + 1)))
-        return owners, train_weights([], y[:0], prior), {"": 0.0}
-    learned = [d for d, out in zip(docs, aside, strict=True) if not out]
-    w = train_weights(learned, y[~aside], prior)
-    odds = np.concatenate([log_odds(d, np.array([len(d)]), w) for d in docs])
-    runs, y, odds = runs[aside], y[aside], odds[aside]
-    weigh = np.where(y == 1, shares[1] / toxic, shares[0] / clean)
-    lang, _ = language_id.predict(runs, language)
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, np.ndarray]]:
+    for batch in batches:
+        for name, part in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            yield name, np.frombuffer(part, np.int64)
+
+
+def _added(rows: DataFrame, read, tasks: int) -> dict[str, np.ndarray]:
+    """All sums over ``rows``; ``tasks`` of them add up what the others have made."""
+    schema = "name string, total binary"
+    # Also what is one name is dealt out.
+    sums = rows.mapInArrow(_sums(read), schema).repartition(tasks)
+    total: dict[str, np.ndarray] = {}
+    for name, part in _parts(sums.mapInArrow(_sums(_parts), schema).toArrow().to_batches()):
+        total[name] = total[name] + part if name in total else part
+    return total
+
+
+def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, np.ndarray]]:
+    """By language the number of texts, and behind it the sums of their features."""
+    for batch in batches:
+        for block in text_bytes.blocks(batch.column("text"), block_rows=_ROWS):
+            x = np.rint(language_id.features(block.data, block.offsets) * UNIT).astype(np.int64)
+            x = np.concatenate([np.ones((block.rows, 1), np.int64), x], axis=1)
+            langs = batch.column("lang").slice(block.first, block.rows)
+            langs = langs.to_numpy(zero_copy_only=False)
+            for lang in set(langs.tolist()):
+                yield lang, x[langs == lang].sum(axis=0)
+
+
+def _languages(cases: DataFrame) -> language_id.Model:
+    """The language whose mean features are nearest, as one linear machine for each."""
+    usable = cases.where(F.col("lang").isNotNull() & (F.octet_length("text") > 0))
+    machines = {}
+    for lang, total in sorted(_added(usable.select("lang", "text"), _features, 8).items()):
+        mean = (total[1:] / total[0] / UNIT).astype(np.float32)
+        machines[lang] = mean, -float(mean @ mean) / 2
+    families = {lang: [lang] for lang in machines}
+    return language_id.Model(families, machines if len(machines) > 1 else {}, {})
+
+
+def _flat(w: dict[str, np.ndarray], used: dict[str, np.ndarray]) -> np.ndarray:
+    """All weights in a row; of embeddings, those of buckets that have an owner."""
+    return np.concatenate([(a[used[k]] if k in used else a).ravel() for k, a in w.items()])
+
+
+def _unflat(flat: np.ndarray, used: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    w, at = first_weights(), 0
+    for k, a in w.items():
+        shape = (len(used[k]), SIZE) if k in used else a.shape
+        part = flat[at : at + int(np.prod(shape))].reshape(shape).astype(np.float32)
+        a[used[k] if k in used else slice(None)] = part
+        at += part.size
+    return w
+
+
+def _round(flat: np.ndarray, used: dict[str, np.ndarray], docs_in_all: int, seed: int):
+    """The weights that a shard comes to, times its documents, and the documents."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, np.ndarray]]:
+        rows = sorted(
+            row
+            for batch in batches
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True)
+        )
+        y = np.array([label for _, label, _ in rows], np.float32)
+        if len(set(y.tolist())) < 2:
+            return  # other rounds deal these documents to other shards
+        docs = [np.frombuffer(words, np.uint16).reshape(-1, 2) for *_, words in rows]
+        w = _unflat(flat, used)
+        # As many steps as if one shard went through all of few documents.
+        epochs = max(EPOCHS, -(-STEPS * BATCH // min(docs_in_all, 2 * len(docs))))
+        train_weights(w, docs, y, -(-epochs // ROUNDS), seed)
+        whole = np.rint(_flat(w, used).astype(np.float64) * UNIT).astype(np.int64)
+        yield "weights", np.append(whole * len(docs), len(docs))
+
+    return run
+
+
+def _weights(
+    cases: DataFrame, owners: tuple[np.ndarray, np.ndarray], docs: tuple[int, int]
+) -> dict[str, np.ndarray]:
+    encoded = cases.mapInArrow(_encoder(owners), "place long, label int, words binary")
+    encoded = stored(encoded, "toxicity_words")
+    used = dict(zip(("words", "stems"), map(np.flatnonzero, owners), strict=True))
+    flat = _flat(first_weights(), used).astype(np.float64)
+    shards = max(1, min(-(-sum(docs) // SHARD), min(docs) // LEAST_RARE))
+    for k in range(ROUNDS):
+        dealt = encoded.repartition(shards, F.xxhash64("place", F.lit(k)))
+        made = _added(dealt, _round(flat, used, sum(docs), k), min(shards, 8))
+        if made:
+            flat = made["weights"][:-1] / (made["weights"][-1] * float(UNIT))
+    return _unflat(flat, used)
+
+
+def _odds(block: text_bytes.Block, model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """Log odds without shift, and languages."""
+    keys, counts = word_keys(block.data, block.offsets)
+    odds = log_odds(*squeezed(_buckets(keys, model.owners), counts), model.weights)
+    x = language_id.features(block.data, block.offsets)
+    return odds.astype(np.float64), language_id.predict(x, model.language)[0]
+
+
+def _placer(model: Model):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block in text_bytes.blocks(batch.column("text"), block_rows=_ROWS):
+                odds, lang = _odds(block, model)
+                yield pa.record_batch(
+                    [
+                        batch.column("label").slice(block.first, block.rows),
+                        pa.array(lang, pa.string()),
+                        pa.array(np.rint(odds * PLACES).astype(np.int64)),
+                    ],
+                    names=["label", "lang", "odds"],
+                )
+
+    return run
+
+
+def _shifts(cases: DataFrame, model: Model) -> dict[str, float]:
+    """What parts each language's documents best, from their counts by log odds."""
+    counts = (
+        cases.mapInArrow(_placer(model), "label int, lang string, odds long")
+        .groupBy("lang", "odds")
+        .agg(
+            F.count(F.when(F.col("label") == 1, 1)).alias("toxic"),
+            F.count(F.when(F.col("label") == 0, 1)).alias("clean"),
+        )
+        .toArrow()
+    )
+    lang = np.array(counts["lang"].to_pylist(), object)
+    odds = counts["odds"].to_numpy() / PLACES
+    toxic, clean = (counts[c].to_numpy() for c in ("toxic", "clean"))
     at = float(np.log(THRESHOLD / (1 - THRESHOLD)))
-    common = _best_place(odds, y, weigh)
+    common = _best_place(odds, toxic, clean)
     shift = {"": at - common}
-    for name in set(lang.tolist()):
+    for name in sorted(set(lang.tolist())):
         own = lang == name
-        place = _best_place(odds[own], y[own], weigh[own])
-        share = own.sum() / (own.sum() + PRIOR_DOCS)
+        place = _best_place(odds[own], toxic[own], clean[own])
+        docs = (toxic[own] + clean[own]).sum()
+        share = docs / (docs + PRIOR_DOCS)
         shift[name] = at - float(share * place + (1 - share) * common)
-    return owners, w, shift
+    return shift
 
 
 def _lowered(docs: DataFrame) -> DataFrame:
@@ -294,41 +517,36 @@ def _lowered(docs: DataFrame) -> DataFrame:
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
-    """Learn from at most ``PER_LABEL`` documents per label that are not held out.
+    """Learn from all labelled documents that are not held out, whatever their length.
 
-    Documents longer than ``LONGEST`` bytes are not learned from (all are scored).
-    Languages are learned as in ``language_id``, which holds out the same documents.
+    One in ``CALIBRATE`` of them, by a hash of its id, is not learned from but calibrates.
     Without documents of both labels every score is the labels' share.
     """
-    docs = _lowered(docs)
-    short = docs.where(F.coalesce(F.octet_length("text"), F.lit(0)) <= LONGEST)
-    language = language_id.fit(docs)
+    rows = labelled.rows(_lowered(docs), labels, "toxic", PARTS, HELD_OUT)
+    cases = stored(rows, "toxicity_cases")
+    aside = F.pmod(F.xxhash64("place"), F.lit(CALIBRATE)) == 0
+    learned, calibrating = cases.where(~aside), cases.where(aside)
+    of = {r.label: r["count"] for r in learned.groupBy("label").count().collect()}
+    clean, toxic = of.get(0, 0), of.get(1, 0)
     shares = labelled.shares(labels, "toxic", PARTS, HELD_OUT)
-
-    def learn(sample: pa.Table) -> tuple:
-        rows = sorted(zip(*(sample[c].to_pylist() for c in sample.column_names), strict=True))
-        return train(
-            [np.frombuffer(words, np.uint64).reshape(-1, 2) for _, words, _ in rows],
-            np.array([np.frombuffer(runs, np.float16) for *_, runs in rows], np.float32),
-            np.array([label for label, *_ in rows], np.float32),
-            language,
-            shares,
-        )
-
-    sample = labelled.sample(short, labels, "toxic", PARTS, HELD_OUT, PER_LABEL)
-    encoded = sample.mapInArrow(_encode, "label int, words binary, runs binary")
-    owners, weights, shift = labelled.train_in_task(encoded, learn)
-    return Model(owners, weights, language, shift)
+    prior = np.float32(np.log((shares[1] + 1) / (shares[0] + 1)))
+    nothing = np.zeros(BUCKETS, np.uint64)
+    model = Model((nothing, nothing), first_weights(), language_id.Model({}, {}, {}), {"": 0.0})
+    if not (clean and toxic):
+        model.weights["score"][:] = 0
+        model.weights["score_bias"] += prior
+        return model
+    owners = _owners(learned, clean, toxic)
+    weights = _weights(learned, owners, (clean, toxic))
+    weights["score_bias"] += prior
+    model = model._replace(owners=owners, weights=weights, language=_languages(cases))
+    return model._replace(shift=_shifts(calibrating, model))
 
 
 def _scores(block: text_bytes.Block, model: Model) -> np.ndarray:
-    keys, counts = word_keys(block.data, block.offsets)
-    odds = log_odds(_buckets(keys, model.owners), counts, model.weights)
-    lang, _ = language_id.predict(
-        language_id.features(block.data, block.offsets), model.language
-    )
+    odds, lang = _odds(block, model)
     shift = [model.shift.get(x, model.shift[""]) for x in lang.tolist()]
-    return sigmoid(odds.astype(np.float64) + shift)
+    return sigmoid(odds + shift)
 
 
 def _scorer(model: Model):

@@ -257,3 +257,49 @@ def test_a_repeated_id_is_one_row_of_the_sample(spark):
     taken = labelled.sample(frames.documents(spark, rows), labels, "toxic", 4, 2, 1000)
     texts = [r.text for r in taken.collect()]
     assert len(texts) == len(set(texts))
+
+
+def toxicity_docs(spark, texts):
+    docs = frames.documents(spark, [(k, text, "en", "s") for k, (text, _) in enumerate(texts)])
+    labels = [(k, label) for k, (_, label) in enumerate(texts)]
+    return docs, spark.createDataFrame(labels, "doc_id long, toxic int")
+
+
+def test_toxicity_is_learned_from_every_document(spark):
+    """200 words, each in 40 of 8,000 toxic documents: a share of those would not tell."""
+    texts = [(f"some w{k // 40}q text", 1) for k in range(8000)]
+    texts += [(f"some v{k // 40}q text", 0) for k in range(8000)]
+    docs, labels = toxicity_docs(spark, texts)
+    model = toxicity_cnn.fit(docs, labels)
+    keys, counts = toxicity_cnn.word_keys(*blocks_of([f"w{k}q" for k in range(200)]))
+    assert (counts == 1).all()
+    assert np.isin(keys[:, 0], model.owners[0]).sum() >= 198  # two may share a bucket
+    found = toxicity_cnn.score(docs, model).where("held_out").join(labels, "doc_id")
+    assert found.where("predicted != toxic").count() <= 0.01 * found.count()
+    again = toxicity_cnn.fit(docs.repartition(5), labels)
+    assert again.shift == model.shift
+    assert all((again.weights[k] == w).all() for k, w in model.weights.items())
+
+
+def test_toxicity_is_learned_from_long_documents(spark):
+    long = "quite harmless text goes on " * 2500
+    texts = [(f"{long} zorgon {k}", 1) for k in range(60)]
+    texts += [(f"quite harmless text goes on {k}", 0) for k in range(90)]
+    docs, labels = toxicity_docs(spark, texts)
+    model = toxicity_cnn.fit(docs, labels)
+    probe = frames.documents(spark, [(1, "zorgon", "en", "s"), (2, "harmless text", "en", "s")])
+    assert {r.doc_id: r.predicted for r in toxicity_cnn.score(probe, model).collect()} == {1: 1, 2: 0}
+
+
+def test_squeezed_texts_score_alike_alone_and_among_others():
+    rng = np.random.default_rng(4)
+    w = {k: rng.standard_normal(a.shape).astype(np.float32) for k, a in toxicity_cnn.first_weights().items()}
+    w["words"][0] = w["stems"][0] = 0
+    counts = np.array([0, 1, 2, 3, 4, 9, 0, 200, 40, 1])
+    ids = rng.integers(1, toxicity_cnn.BUCKETS, (counts.sum(), 2)) * (rng.random((counts.sum(), 1)) < 0.2)
+    got = toxicity_cnn.log_odds(ids, counts, w)
+    few, n = toxicity_cnn.squeezed(ids, counts)
+    assert len(few) < len(ids) and (toxicity_cnn.log_odds(few, n, w) == got).all()
+    ends = np.cumsum(counts)
+    alone = [toxicity_cnn.log_odds(ids[e - c : e], np.array([c]), w)[0] for c, e in zip(counts, ends)]
+    assert (np.array(alone) == got).all()
